@@ -21,9 +21,10 @@ WINDOW = 75_000
 
 
 def pack_words(df: DataFrame, key: str, sample_index=None) -> DataFrame:
-    """(contigName, start, key, mean, spread, word, called, one, two) from biallelic rows with genotypes.
+    """(contigName, start, key, n, s, d, word, called, one, two) from biallelic rows with genotypes.
 
-    ``mean`` is the mean dosage and ``spread`` the sum of squared deviations over called samples.
+    Over the called samples: their number n, the dosage sum s, and d = n * sum(x * x) - s * s, which is n
+    times the sum of squared deviations and zero for a constant site.
     """
     dosage = F.transform(F.col("genotypes")["calls"], calls.alt_dosage)
     zero = F.struct(*[F.lit(0).cast("bigint").alias(n) for n in ("n", "s", "q")])
@@ -33,10 +34,8 @@ def pack_words(df: DataFrame, key: str, sample_index=None) -> DataFrame:
         lambda a, d: F.struct((a["n"] + 1).alias("n"), (a["s"] + d).alias("s"), (a["q"] + d * d).alias("q")),
     )
     n, s, q = F.col("_t.n"), F.col("_t.s"), F.col("_t.q")
-    summed = df.withColumn("_t", fold).withColumns(
-        {"mean": F.try_divide(s, n), "spread": q - F.try_divide(s * s, n)}
-    )
-    keys = ["contigName", "start", key, "mean", "spread"]
+    summed = df.withColumn("_t", fold).withColumns({"n": n, "s": s, "d": n * q - s * s})
+    keys = ["contigName", "start", key, "n", "s", "d"]
     bit = F.expr("shiftleft(1L, CAST(sample_idx % 64 AS INT))")
     n_alt = F.col("n_alt")
     return (
@@ -61,10 +60,11 @@ def site_pairs(df: DataFrame, key: str, window: int = WINDOW) -> DataFrame:
 def ld_r2(df: DataFrame, key: str, window: int = WINDOW, sample_index=None) -> DataFrame:
     """Squared correlation of mean-imputed dosages for pairs within ``window``.
 
-    Imputed values sit at the mean, so only samples called at both sites enter the covariance. Pairs without
-    a shared called sample, or with a constant site, have no correlation and give no row.
+    Imputed values sit at the mean, so only samples called at both sites enter the covariance. It is formed
+    from integer sums, scaled by both called counts, so nothing cancels. Pairs without a shared called
+    sample, or with a constant site, have no correlation and give no row.
     """
-    words = pack_words(df.where(F.size("alternateAlleles") == 1), key, sample_index).where(F.col("spread") > 0)
+    words = pack_words(df.where(F.size("alternateAlleles") == 1), key, sample_index).where(F.col("d") > 0)
     joined = pairs_within(words, contig="contigName", pos="start", key=key, window=window, extra=["word"])
 
     def common(x: str, y: str) -> Column:
@@ -73,17 +73,20 @@ def ld_r2(df: DataFrame, key: str, window: int = WINDOW, sample_index=None) -> D
     levels = ("one", "two")
     product = sum((common(x, y) for x in levels for y in levels), F.lit(0))
     pair = ["contigName", f"a_{key}", f"b_{key}"]
+    totals = [f"{side}_{name}" for side in "ab" for name in ("n", "s", "d")]
     sums = joined.groupBy(*pair).agg(
         F.sum(common("called", "called")).alias("n_both"),
         F.sum(product).alias("_xy"),
         F.sum(common("one", "called") + common("two", "called")).alias("_x"),
         F.sum(common("called", "one") + common("called", "two")).alias("_y"),
-        *[F.max(c).alias(c) for c in ("a_mean", "b_mean", "a_spread", "b_spread")],
+        *[F.max(c).alias(c) for c in totals],
     )
-    mx, my = F.col("a_mean"), F.col("b_mean")
-    covariance = F.col("_xy") - mx * F.col("_y") - my * F.col("_x") + mx * my * F.col("n_both")
+    na, sa, da, nb, sb, db = (F.col(c) for c in totals)
+    covariance = na * nb * F.col("_xy") - sa * nb * F.col("_y") - sb * na * F.col("_x") + sa * sb * F.col("n_both")
+    scaled = covariance.cast("double")
+    r2 = scaled * scaled / ((na * da).cast("double") * (nb * db).cast("double"))
     return sums.where(F.col("n_both") > 0).select(
-        *pair, "n_both", "a_mean", "b_mean", (covariance * covariance / (F.col("a_spread") * F.col("b_spread"))).alias("r2")
+        *pair, "n_both", (sa / na).alias("a_mean"), (sb / nb).alias("b_mean"), r2.alias("r2")
     )
 
 

@@ -144,13 +144,14 @@ _CTES |= {
         FROM vs a JOIN vs b ON a.contigName = b.contigName AND a.start < b.start AND b.start - a.start <= 75000
         WHERE a.n_alt = 1 AND b.n_alt = 1""",
     "ds": "SELECT sid, s, a1 + a2 AS x FROM ve WHERE called AND n_alt = 1",
-    "dm": """SELECT sid, sum(x) / count(*) AS mean, sum(x * x) - (sum(x) * sum(x)) / count(*) AS spread
+    "dm": """SELECT sid, count(*) AS n, sum(x)::BIGINT AS s, (count(*) * sum(x * x) - sum(x) * sum(x))::BIGINT AS d, sum(x) / count(*) AS mean
         FROM ds GROUP BY sid""",
-    "lr": """SELECT a_sid, b_sid, count(*) AS n_both,
-        power(sum((a.x - ma.mean) * (b.x - mb.mean)), 2) / (any_value(ma.spread) * any_value(mb.spread)) AS r2
+    "lr": """SELECT a_sid, b_sid, n_both, c * c / ((na * da)::DOUBLE * (nb * db)::DOUBLE) AS r2 FROM (
+        SELECT a_sid, b_sid, count(*) AS n_both, ma.n AS na, ma.d AS da, mb.n AS nb, mb.d AS db,
+        sum((a.x * ma.n - ma.s) * (b.x * mb.n - mb.s))::DOUBLE AS c
         FROM lp JOIN ds a ON a.sid = a_sid JOIN ds b ON b.sid = b_sid AND b.s = a.s
         JOIN dm ma ON ma.sid = a_sid JOIN dm mb ON mb.sid = b_sid
-        WHERE ma.spread > 0 AND mb.spread > 0 GROUP BY 1, 2""",
+        WHERE ma.d > 0 AND mb.d > 0 GROUP BY ALL)""",
     "edge": f"""SELECT a_sid AS u, b_sid AS v FROM lr WHERE r2 >= {LINKED_R2}
         UNION ALL SELECT b_sid, a_sid FROM lr WHERE r2 >= {LINKED_R2}""",
     "rank": """SELECT sid, row_number() OVER (ORDER BY -least(mean / 2, 1 - mean / 2), sid) AS r

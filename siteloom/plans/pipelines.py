@@ -102,5 +102,7 @@ def harmonise_study(
         return normalize.fix_reference(part, reference, single_base=single_base).drop("ref_fixed")
 
     plain = liftover.single_bases()
-    aligned = normalize.left_align(place(rows.where(~plain), False), reference)
-    return harmonise.format_harmonised(place(rows.where(plain), True).unionByName(aligned), **options)
+    placed, indels = place(rows.where(plain), True), rows.where(~plain)
+    if not indels.isEmpty():
+        placed = placed.unionByName(normalize.left_align(place(indels, False), reference))
+    return harmonise.format_harmonised(placed, **options)
