@@ -13,6 +13,22 @@ CHUNK = 10_000
 NO_TARGET, SPLIT_TARGET, MISMATCH = "NoTarget", "CannotLiftOver", "MismatchedRefAllele"
 
 
+def single_bases() -> Column:
+    """Rows whose alleles are one base each."""
+    return F.coalesce((F.length("REF") == 1) & (F.length("ALT") == 1), F.lit(True))
+
+
+def by_allele_length(df: DataFrame, run) -> DataFrame:
+    """Apply ``run(rows, single_base)`` to the single-base rows and, where there are any, to the others.
+
+    Lifting and REF repair keep an allele's length, so the rows can be told apart at the source, and the
+    single-base ones, nearly all, are joined to the bare reference chunks.
+    """
+    single = single_bases()
+    placed, others = run(df.where(single), True), df.where(~single)
+    return placed if others.isEmpty() else placed.unionByName(run(others, False))
+
+
 def reference_bases(
     df: DataFrame, reference: DataFrame, length: Column, size: int = CHUNK, single_base: bool = False
 ) -> DataFrame:
@@ -89,14 +105,16 @@ def map_positions(df: DataFrame, chain: DataFrame) -> DataFrame:
     )
 
 
-def liftover(
-    df: DataFrame, chain: DataFrame, reference: DataFrame, size: int = CHUNK, single_base: bool = False
-) -> DataFrame:
+def liftover(df: DataFrame, chain: DataFrame, reference: DataFrame, size: int = CHUNK) -> DataFrame:
     """Lift VCF body rows; every input row comes out once, with ``reject_reason`` NULL when lifted.
 
     A lifted row's REF must be the target base. Where only ALT is, a single-base row is recovered by
     exchanging the alleles and flagged ``SwappedAlleles`` (also an INFO flag). INFO gets the original place.
     """
+    return by_allele_length(df, lambda rows, single: _liftover(rows, chain, reference, size, single))
+
+
+def _liftover(df: DataFrame, chain: DataFrame, reference: DataFrame, size: int, single_base: bool) -> DataFrame:
     placed = map_positions(df, chain)
     checked = reference_bases(placed, reference, F.length("REF"), size, single_base)
     single = (F.length("REF") == 1) & (F.length("ALT") == 1)
@@ -135,11 +153,6 @@ def liftover(
     )
 
 
-def single_bases() -> Column:
-    """Rows whose alleles are one base each; lifting and REF repair keep that."""
-    return F.coalesce((F.length("REF") == 1) & (F.length("ALT") == 1), F.lit(True))
-
-
 VCF_BODY = ["CHR", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"]
 
 

@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siteloom.operators.liftover import CHUNK, reference_bases, single_bases
+from siteloom.functions.once import compute_once
+from siteloom.operators.liftover import CHUNK, by_allele_length, reference_bases, single_bases
 from siteloom.session import checkpoint
 
-NEAR = 64  # bases of left context tried before the whole available context
+NEAR = 64  # bases of left context joined in the first pass; later passes use ever more
 
 
-def fix_reference(
-    df: DataFrame, reference: DataFrame, size: int = CHUNK, single_base: bool = False
-) -> DataFrame:
+def fix_reference(df: DataFrame, reference: DataFrame, size: int = CHUNK) -> DataFrame:
     """Make REF the reference text. ``ref_fixed``: "none" when it was, "swap" when ALT was and the alleles
     are exchanged, "set" when neither was and REF is replaced, NULL where the reference does not reach."""
+    return by_allele_length(df, lambda rows, single: _fix_reference(rows, reference, size, single))
+
+
+def _fix_reference(df: DataFrame, reference: DataFrame, size: int, single_base: bool) -> DataFrame:
     longest = F.greatest(F.length("REF"), F.length("ALT"))
     checked = reference_bases(df, reference, longest, size, single_base)
     begins = lambda allele: F.col("ref_bases").startswith(F.col(allele))
@@ -41,24 +44,27 @@ def _common_prefix(a: Column, b: Column) -> Column:
     return F.when(n == 0, 0).when(at > 0, (at - 1).cast("int")).otherwise(n)
 
 
-def _with_left_context(df: DataFrame, reference: DataFrame, size: int) -> DataFrame:
-    """Add ``_left``: the reference text before POS, nearest base first, one to two chunks of it."""
-    before = reference.select("contig", (F.col("chunk") + 1).alias("chunk"), F.col("seq").alias("_before"))
-    context = reference.join(before, ["contig", "chunk"], "left").select(
-        F.col("contig").alias("_contig"),
-        F.col("chunk").alias("_chunk"),
-        F.coalesce("_before", F.lit("")).alias("_before"),
-        "seq",
+def _with_left_context(df: DataFrame, reference: DataFrame, size: int, reach: int) -> DataFrame:
+    """Add ``_left``: up to ``reach`` (at most ``size``) bases before POS, nearest base first."""
+    text = reference.select(
+        F.col("contig").alias("_contig"), F.col("chunk").alias("_chunk"), F.col("seq").alias("_text")
+    )
+    before = text.select("_contig", (F.col("_chunk") + 1).alias("_chunk"), F.right("_text", F.lit(reach)).alias("_before"))
+    context = text.join(before, ["_contig", "_chunk"], "left").select(
+        "_contig",
+        "_chunk",
+        F.concat(F.coalesce("_before", F.lit("")), "_text").alias("_text"),
+        F.length(F.coalesce("_before", F.lit(""))).alias("_lead"),
     )
     offset = F.col("POS") - 1
     here = (F.col("CHR") == F.col("_contig")) & (F.floor(offset / size).cast("bigint") == F.col("_chunk"))
-    left = F.concat("_before", F.left("seq", (offset % size).cast("int")))
-    return (
-        df.join(context, here, "left").withColumn("_left", F.reverse(left)).drop("_contig", "_chunk", "_before", "seq")
-    )
+    end = F.col("_lead") + (offset % size).cast("int")
+    n = F.least(F.lit(reach), end)
+    left = F.reverse(F.substring("_text", end - n + 1, n))
+    return compute_once(df.join(context, here, "left"), {"_left": left}).drop("_contig", "_chunk", "_text", "_lead")
 
 
-def _align(df: DataFrame, reference: DataFrame, size: int) -> DataFrame:
+def _align(df: DataFrame, reference: DataFrame, size: int, reach: int) -> DataFrame:
     """One pass over rows with a multi-base allele; ``_more`` marks those that used all their context.
 
     After the common suffix is cut, a row with an empty side is a pure insertion or deletion of text S. It
@@ -66,7 +72,7 @@ def _align(df: DataFrame, reference: DataFrame, size: int) -> DataFrame:
     by k and the base before it becomes the anchor.
     """
     row = (
-        _with_left_context(df, reference, size)
+        _with_left_context(df, reference, size, reach)
         .withColumn("_s", _common_prefix(F.reverse("REF"), F.reverse("ALT")))
         .withColumn("_r", F.left("REF", F.length("REF") - F.col("_s")))
         .withColumn("_a", F.left("ALT", F.length("ALT") - F.col("_s")))
@@ -80,15 +86,11 @@ def _align(df: DataFrame, reference: DataFrame, size: int) -> DataFrame:
         .withColumn("_mixed", (F.length("_r") > 0) & (F.length("_a") > 0))
     )
 
-    def run(limit: Column) -> Column:
-        limit = limit.cast("int")
-        times = F.ceil(limit / F.col("_m")).cast("int")
-        return _common_prefix(F.left("_left", limit), F.repeat(F.reverse("_indel"), times))
-
-    near = F.least(F.lit(NEAR), F.col("_reach"))
+    times = F.ceil(F.col("_reach") / F.col("_m")).cast("int")
     moved = (
-        row.withColumn("_near", F.when(F.col("_pure"), run(near)))
-        .withColumn("_run", F.when(F.col("_near") < near, F.col("_near")).when(F.col("_pure"), run(F.col("_reach"))))
+        row.withColumn(
+            "_run", F.when(F.col("_pure"), _common_prefix(F.col("_left"), F.repeat(F.reverse("_indel"), times)))
+        )
         .withColumn("_k", F.least(F.col("_run"), F.col("_reach") - 1))
         .withColumn("_turn", F.when(F.col("_pure"), F.col("_k") % F.col("_m")))
         .withColumn("_text", F.concat(F.right("_indel", F.col("_turn")), F.left("_indel", F.col("_m") - F.col("_turn"))))
@@ -120,15 +122,16 @@ def _align(df: DataFrame, reference: DataFrame, size: int) -> DataFrame:
 def left_align(df: DataFrame, reference: DataFrame, size: int = CHUNK) -> DataFrame:
     """Parsimonious, left-most form of every row (CHR, POS, REF, ALT upper case, REF as in the reference).
 
-    Single-base rows bypass everything. Others get one to two chunks of reference text; the few whose repeat
-    runs past it go round again from where they got to, until none is left.
+    Single-base rows bypass everything. Others get the few bases before them; those whose repeat runs past
+    these go round again, from where they got to, with ever more context until none is left.
     """
     plain = single_bases()
-    aligned = checkpoint(_align(df.where(~plain), reference, size))
-    done = df.where(plain)
+    done, reach = df.where(plain), min(NEAR, size)
+    aligned = checkpoint(_align(df.where(~plain), reference, size, reach))
     while True:
         done = done.unionByName(aligned.where(~F.col("_more")).drop("_more"))
         left_over = aligned.where("_more").drop("_more")
         if left_over.isEmpty():
             return done
-        aligned = checkpoint(_align(left_over, reference, size))
+        reach = min(reach * 8, size)
+        aligned = checkpoint(_align(left_over, reference, size, reach))

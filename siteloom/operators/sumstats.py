@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from siteloom.functions import alleles
+from siteloom.functions.once import compute_once
 
 # Canonical columns a study may map, per-study constants, and the INFO keys in order.
 MAPPED = [
@@ -65,17 +66,17 @@ class Study:
 def rename_columns(df: DataFrame, study: Study) -> DataFrame:
     """Source columns -> canonical ones, missing markers -> NULL, numbers cast, study constants added."""
 
+    types = dict(df.dtypes)
+
     def value(source: str, name: str):
-        text = F.col(f"`{source}`").cast("string")
-        number = F.expr(f"try_cast(`{source}` AS DOUBLE)")
-        missing = text.isin(*MISSING_TEXTS) | F.coalesce(number.isin(*MISSING_NUMBERS), F.lit(False))
-        if name in TEXT_COLUMNS:
-            typed = text
-        elif name == "POS":
-            typed = F.col(f"`{source}`").cast("double").cast("bigint")
-        else:
-            typed = F.col(f"`{source}`").cast("double")
-        return F.when(~missing, typed).alias(name)
+        column = F.col(f"`{source}`")
+        number = column.try_cast("double")
+        missing = F.coalesce(number.isin(*MISSING_NUMBERS), F.lit(False))
+        if types[source] == "string":
+            missing = missing | column.isin(*MISSING_TEXTS)
+        target = "string" if name in TEXT_COLUMNS else "double"
+        typed = column if types[source] == target else column.cast(target)
+        return F.when(~missing, typed.cast("bigint") if name == "POS" else typed).alias(name)
 
     return df.select(
         *[value(source, name) for name, source in study.columns.items()],
@@ -108,7 +109,8 @@ def upper_alleles(df: DataFrame) -> DataFrame:
 
 def qc_summary_stats(df: DataFrame, study: Study, filter_cases_af: bool = False) -> DataFrame:
     """Source rows of one study -> clean canonical rows; one projection and one fused filter."""
-    kept = df.transform(rename_columns, study).transform(upper_alleles)
+    canonical = df.transform(rename_columns, study).transform(upper_alleles)
+    kept = compute_once(canonical, {c: F.col(c) for c in study.columns})
     for condition in qc_filters(study.columns, filter_cases_af).values():
         kept = kept.filter(condition)
     return kept

@@ -41,6 +41,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than the session has cores one partition per core; leave others alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def label(key: str) -> str:
     """SQL text of the contig label of an integer key."""
     return f"CASE ({key}) % 24 WHEN 0 THEN 'X' WHEN 23 THEN 'Y' ELSE CAST(({key}) % 24 AS STRING) END"
@@ -180,7 +186,7 @@ def csq_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
         IF({tx} % 3 = 0, 'YES', ''),
         IF({tx} % 3 = 0, concat('NM_', {tx}), ''))"""
     return (
-        variants(spark, sf_dir)
+        spread(variants(spark, sf_dir))
         .withColumn("gene", F.expr("(sid % 24) * 10 + (sid div 24) % 10"))
         .withColumn(
             "csqs", F.expr(f"array_join(transform(sequence(0, CAST(sid % 3 AS INT)), j -> {record}), ',')")
@@ -268,7 +274,7 @@ def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sumstats_raw(spark: SparkSession, sf_dir: str, build: str = "hg19") -> DataFrame:
     """Association results under the source column names; -99 / -999 mark missing numbers."""
-    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k", "o_custkey AS c")
+    orders = spread(table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k", "o_custkey AS c"))
     placed = orders.selectExpr(
         "k",
         "c",

@@ -96,13 +96,13 @@ def harmonise_study(
     """
     rows = raw.transform(qc_summary_stats, study).transform(to_vcf_rows)
 
-    def place(part: DataFrame, single_base: bool) -> DataFrame:
+    def place(part: DataFrame) -> DataFrame:
         if study.build == "hg19":
-            return liftover.lifted_rows(liftover.liftover(part, chain, reference, single_base=single_base))
-        return normalize.fix_reference(part, reference, single_base=single_base).drop("ref_fixed")
+            return liftover.lifted_rows(liftover.liftover(part, chain, reference))
+        return normalize.fix_reference(part, reference).drop("ref_fixed")
 
-    plain = liftover.single_bases()
-    placed, indels = place(rows.where(plain), True), rows.where(~plain)
+    single = liftover.single_bases()
+    placed, indels = place(rows.where(single)), rows.where(~single)
     if not indels.isEmpty():
-        placed = placed.unionByName(normalize.left_align(place(indels, False), reference))
+        placed = placed.unionByName(normalize.left_align(place(indels), reference))
     return harmonise.format_harmonised(placed, **options)

@@ -669,7 +669,7 @@ def _indels(spark, sf_dir):
     """An insertion or deletion of 1 to 6 reference bases after each order's position."""
     span = "array_join(transform(sequence(1L, k % 6 + 1), i -> {}), '')".format(fixtures.base("p + i"))
     return (
-        fixtures.table(spark, sf_dir, "orders")
+        fixtures.spread(fixtures.table(spark, sf_dir, "orders").select("o_orderkey"))
         .selectExpr("o_orderkey AS k", f"{fixtures.label('o_orderkey')} AS CHR", "o_orderkey * 37 + 1 AS p")
         .selectExpr("k", "CHR", "p AS POS", f"{fixtures.base('p')} AS first", f"{span} AS span")
         .selectExpr(
