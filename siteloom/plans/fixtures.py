@@ -327,7 +327,7 @@ def reference(spark: SparkSession, sf_dir: str, size: int = CHUNK) -> DataFrame:
     text = _period() * (size // REFERENCE_PERIOD + 3)
     return (
         last.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n"))).alias("chunk"))
-        .repartition("chunk")
+        .repartition(spark.sparkContext.defaultParallelism, "chunk")  # a given number is not coalesced
         .select(
             F.explode(F.array(*[F.lit(c) for c in [*map(str, range(1, 23)), "X", "Y"]])).alias("contig"), "chunk"
         )

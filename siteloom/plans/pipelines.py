@@ -17,7 +17,7 @@ def lookup_table(
 ) -> DataFrame:
     """Population rows -> genotype lookup rows: split, repair, align, count, drop 0/0, summarise.
 
-    All steps are row-local; only indels meet the reference. Without ``reference`` alignment is skipped.
+    All steps are row-local but the alignment of indels, which is skipped without ``reference``.
     """
     split = (
         pvcf.transform(genotypes.process_genotypes)
@@ -36,28 +36,26 @@ def lookup_table(
 
 
 def align_sites(df: DataFrame, reference: DataFrame) -> DataFrame:
-    """Left-align biallelic site rows: only the site columns of the indels go through the alignment."""
-    named = df.transform(sites.site_to_uid)
-    indels = named.where((F.length("REF") > 1) | (F.length("ALT") > 1)).select("uid", "CHR", "POS", "REF", "ALT").distinct()
-    moved = normalize.left_align(indels, reference).select(
+    """Left-align biallelic site rows.
+
+    Rows of single-base alleles pass untouched and unshuffled. For the others only the site columns go
+    through the alignment, and its result is joined back by uid.
+    """
+    first_alt = F.get("alternateAlleles", F.lit(0))
+    single = F.coalesce((F.length("referenceAllele") == 1) & (F.length(first_alt) == 1), F.lit(True))
+    indels = df.where(~single).transform(sites.site_to_uid)
+    moved = normalize.left_align(indels.select("uid", "CHR", "POS", "REF", "ALT").distinct(), reference).select(
         "uid", F.col("POS").alias("_pos"), F.col("REF").alias("_ref"), F.col("ALT").alias("_alt")
     )
-    start = F.coalesce(F.col("_pos") - 1, F.col("start"))
-    ref = F.coalesce("_ref", "referenceAllele")
-    return (
-        named.join(moved, "uid", "left")
-        .withColumns(
-            {
-                "end": start + F.length(ref),
-                "start": start,
-                "referenceAllele": ref,
-                "alternateAlleles": F.when(F.col("_alt").isNotNull(), F.array("_alt")).otherwise(
-                    F.col("alternateAlleles")
-                ),
-            }
-        )
-        .drop("uid", "CHR", "POS", "REF", "ALT", "_pos", "_ref", "_alt")
+    placed = indels.join(moved, "uid").withColumns(
+        {
+            "start": F.col("_pos") - 1,
+            "end": F.col("_pos") - 1 + F.length("_ref"),
+            "referenceAllele": F.col("_ref"),
+            "alternateAlleles": F.array("_alt"),
+        }
     )
+    return df.where(single).unionByName(placed.select(*df.columns))
 
 
 def annotation_table(text: DataFrame, missense: DataFrame, transcripts: DataFrame) -> DataFrame:

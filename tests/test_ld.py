@@ -88,3 +88,12 @@ def test_default_ties_leave_a_maximal_set_without_linked_pairs(pvcf, cohort):
 def test_multiallelic_rows_stay_out(pvcf):
     multi = pvcf.withColumn("alternateAlleles", F.array(F.lit("C"), F.lit("G")))
     assert ld.ld_prune(multi, "sid", window=WINDOW).count() == 0
+
+
+def test_pruned_probabilities(spark, sf_dir):
+    from siteloom.plans import fixtures, pipelines
+
+    rows = pipelines.pruned_probabilities(fixtures.pvcf(spark, sf_dir), "sid", lambda g: g["sampleId"].cast("bigint"))
+    passed = pipelines.matrix_qc(fixtures.pvcf(spark, sf_dir)).where(F.size("alternateAlleles") == 1)
+    assert 0 < rows.count() <= passed.count()
+    assert rows.where(F.size("gp") != F.size("dosages")).count() == 0

@@ -302,3 +302,21 @@ def test_pipeline_aligns_indels_and_writes(spark, reference, tmp_path):
 def test_unique_rows_with_a_hot_key(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("uid"), "id")
     assert harmonise.unique_rows(df).count() == 2000
+
+
+def test_lookup_table_aligns_indels_only(spark, reference):
+    gt = "array<struct<calls:array<int>,sampleId:string,phased:boolean,depth:int,conditionalQuality:int,alleleDepths:array<int>>>"
+    calls = [([0, 1], "s0", False, 9, 9, [4, 5]), ([0, 0], "s1", False, 9, 9, [9, 0])]
+    schema = (
+        "contigName string, start bigint, end bigint, referenceAllele string, alternateAlleles array<string>,"
+        f" filters array<string>, qual double, attributes map<string,string>, genotypes {gt}"
+    )
+    rows = [
+        ("chr1", 12, 16, GENOME[12:16], [GENOME[12]], None, None, None, calls),
+        ("chr1", 2, 3, "T", ["C"], None, None, None, calls),
+    ]
+    whole = spark.createDataFrame([("1", 0, GENOME)], "contig string, chunk bigint, seq string")
+    out = pipelines.lookup_table(spark.createDataFrame(rows, schema), whole)
+    pos, ref, alt = left_most(13, GENOME[12:16], GENOME[12])
+    got = sorted((r.uid, r.start, r.end, len(r.genotypes), r.AC) for r in out.collect())
+    assert got == sorted([(f"1:{pos}:{ref}:{alt}", pos - 1, pos - 1 + len(ref), 1, 1), ("1:3:T:C", 2, 3, 1, 1)])
