@@ -86,9 +86,9 @@ _CTES: dict[str, str] = {
 
 
 def _counts(source: str) -> str:
-    return f"""SELECT sid, a_index, count(*) AS n, count_if(x1 >= 0 AND x2 >= 0) AS n_called,
-        count_if(x1 >= 0 AND x2 >= 0 AND x1 <> x2) AS het, count_if(x1 = 0 AND x2 = 0) AS rr,
-        count_if(x1 = 1 AND x2 = 1) AS aa,
+    return f"""SELECT sid, a_index, count(*) AS n, count(1) FILTER (WHERE x1 >= 0 AND x2 >= 0) AS n_called,
+        count(1) FILTER (WHERE x1 >= 0 AND x2 >= 0 AND x1 <> x2) AS het, count(1) FILTER (WHERE x1 = 0 AND x2 = 0) AS rr,
+        count(1) FILTER (WHERE x1 = 1 AND x2 = 1) AS aa,
         coalesce(sum(CASE WHEN x1 >= 0 AND x2 >= 0 THEN x1 + x2 END), 0) AS ac FROM {source} GROUP BY 1, 2"""
 
 
@@ -121,12 +121,12 @@ _CTES |= {
         FROM {src} GROUP BY 1, 2)""".replace("{src}", "vx"),
     "hb": """SELECT sid, a_index, CASE WHEN n = 0 THEN 0 ELSE d[1] END AS lo,
         CASE WHEN n = 0 THEN 0 ELSE d[len(d) // 2 + 1] END AS mid, CASE WHEN n = 0 THEN 0 ELSE d[len(d)] END AS hi FROM (
-        SELECT sid, a_index, count_if(x1 >= 0 AND x2 >= 0 AND x1 <> x2) AS n,
+        SELECT sid, a_index, count(1) FILTER (WHERE x1 >= 0 AND x2 >= 0 AND x1 <> x2) AS n,
         list_sort(coalesce(list(ad1 / nullif(ad0 + ad1, 0)) FILTER (x1 >= 0 AND x2 >= 0 AND x1 <> x2 AND ad0 + ad1 > 0), [])) AS d
         FROM vx GROUP BY 1, 2)""",
     "ab": """SELECT sid, a_index, CASE WHEN n = 0 THEN 0 ELSE d[1] END AS lo,
         CASE WHEN n = 0 THEN 0 ELSE d[len(d) // 2 + 1] END AS mid, CASE WHEN n = 0 THEN 0 ELSE d[len(d)] END AS hi FROM (
-        SELECT sid, a_index, count_if(x1 = 1 AND x2 = 1) AS n,
+        SELECT sid, a_index, count(1) FILTER (WHERE x1 = 1 AND x2 = 1) AS n,
         list_sort(coalesce(list(ad1 / nullif(ad0 + ad1, 0)) FILTER (x1 = 1 AND x2 = 1 AND ad0 + ad1 > 0), [])) AS d
         FROM vx GROUP BY 1, 2)""",
     # --- intervals
@@ -378,12 +378,12 @@ def statements() -> dict[str, str]:
             sampleId, {_calls('m')}, ad0, ad1 FROM vm JOIN (SELECT * EXCLUDE (n_alt) FROM vs) USING (sid)""",
         "fix_multi": f"SELECT sid, CAST(a_index AS BIGINT) AS a_index, sampleId, {_calls()} FROM vx",
         "fix_multi_downcode": f"SELECT sid, CAST(a_index AS BIGINT) AS a_index, sampleId, {_calls()}, ad0, ad1 FROM vd",
-        "call_stats": """WITH_ SELECT e.sid, CAST(i.i AS BIGINT) AS allele, count_if(called) AS nCalled, count_if(NOT called) AS nUncalled,
-            count_if(called AND a1 <> a2) AS nHet, count_if(called AND NOT (a1 = 0 AND a2 = 0)) AS nNonRef,
-            2 * count_if(called) AS nAllelesCalled, count_if(called AND a1 = i AND a2 = i) AS n_hom,
-            count_if(called AND a1 = i) + count_if(called AND a2 = i) AS ac,
-            round((count_if(called AND a1 = i) + count_if(called AND a2 = i)) / (2 * count_if(called)), 6) AS af,
-            round(count_if(called) / count(*), 6) AS callRate
+        "call_stats": """WITH_ SELECT e.sid, CAST(i.i AS BIGINT) AS allele, count(1) FILTER (WHERE called) AS nCalled, count(1) FILTER (WHERE NOT called) AS nUncalled,
+            count(1) FILTER (WHERE called AND a1 <> a2) AS nHet, count(1) FILTER (WHERE called AND NOT (a1 = 0 AND a2 = 0)) AS nNonRef,
+            2 * count(1) FILTER (WHERE called) AS nAllelesCalled, count(1) FILTER (WHERE called AND a1 = i AND a2 = i) AS n_hom,
+            count(1) FILTER (WHERE called AND a1 = i) + count(1) FILTER (WHERE called AND a2 = i) AS ac,
+            round((count(1) FILTER (WHERE called AND a1 = i) + count(1) FILTER (WHERE called AND a2 = i)) / (2 * count(1) FILTER (WHERE called)), 6) AS af,
+            round(count(1) FILTER (WHERE called) / count(*), 6) AS callRate
             FROM ve e JOIN (VALUES (0), (1), (2)) i(i) ON i.i <= n_alt GROUP BY 1, 2""".replace("WITH_ ", ""),
         "hwe": "SELECT sid, CAST(a_index AS BIGINT) AS a_index, round(p, 6) AS pValueHwe FROM px",
         "excess_het": "SELECT sid, CAST(a_index AS BIGINT) AS a_index, round(p, 6) AS pValueExcessHet FROM pd",
@@ -407,7 +407,7 @@ def statements() -> dict[str, str]:
         "site_qc": """SELECT sid, contigName, start, CAST(a_index AS BIGINT) AS a_index, round(call_rate, 6) AS call_rate, round(af, 6) AS af,
             round(p, 6) AS p_excess_het FROM qc WHERE call_rate > 0.97 AND af > 0.01 AND af < 0.99 AND p > 1e-16
             AND length(alt) = 1 AND ref <> alt AND contigName NOT IN ('chrX', 'chrY')""",
-        "qc_funnel": """SELECT CAST(i AS BIGINT) AS step_no, name AS step, count_if(i = 0 OR (call_rate > 0.97 AND (i < 2 OR (af > 0.01 AND af < 0.99))
+        "qc_funnel": """SELECT CAST(i AS BIGINT) AS step_no, name AS step, count(1) FILTER (WHERE i = 0 OR (call_rate > 0.97 AND (i < 2 OR (af > 0.01 AND af < 0.99))
             AND (i < 3 OR p > 1e-16) AND (i < 4 OR (length(alt) = 1 AND ref <> alt)) AND (i < 5 OR contigName NOT IN ('chrX', 'chrY')))) AS n_sites
             FROM qc, (VALUES (0, 'all'), (1, 'call_rate'), (2, 'allele_frequency'), (3, 'excess_het'), (4, 'snp'), (5, 'autosome')) t(i, name)
             GROUP BY 1, 2""",
@@ -483,7 +483,7 @@ def statements() -> dict[str, str]:
             round(CASE WHEN POS % 2 = 0 THEN 1 - controls_AF ELSE controls_AF END, 6) AS controls_AF FROM sc""",
         "liftover": "SELECT CHR, POS, coalesce(ID, '.') AS ID, REF, ALT, INFO FROM lo",
         "liftover_reject": "SELECT CHR, POS, coalesce(ID, '.') AS ID, reason AS reject_reason FROM ll WHERE reason IS NOT NULL",
-        "swap_count": "SELECT count(*) AS n_rows, count_if(swapped) AS n_swapped FROM lo",
+        "swap_count": "SELECT count(*) AS n_rows, count(1) FILTER (WHERE swapped) AS n_swapped FROM lo",
         "ref_check": """SELECT CHR, POS, coalesce(ID, '.') AS ID, base AS REF, CASE WHEN fixed = 'swap' THEN otherAllele ELSE effectAllele END AS ALT,
             fixed AS ref_fixed FROM rcs""",
         "left_align": f"""SELECT k, CHR, p AS POS,

@@ -77,9 +77,13 @@ def split_for_qc(pvcf: DataFrame, mode: str = "downcode") -> DataFrame:
     return multiallelic.correct_multiallelics(multiallelic.split_multiallelics(called, mode), mode)
 
 
-def pruned_probabilities(pvcf: DataFrame, key: str, sample_index=None, **ld_options) -> DataFrame:
-    """Filtered rows -> LD-pruned rows with mean-imputed dosages and genotype probabilities."""
-    pruned = ld.ld_prune(matrix_qc(pvcf), key, sample_index=sample_index, **ld_options)
+def pruned_probabilities(pvcf: DataFrame, sample_index=None, **ld_options) -> DataFrame:
+    """Filtered rows -> LD-pruned rows with mean-imputed dosages and genotype probabilities.
+
+    Split rows are told apart by the ``uid`` added here.
+    """
+    passed = matrix_qc(pvcf).transform(sites.site_to_uid)
+    pruned = ld.ld_prune(passed, "uid", sample_index=sample_index, **ld_options)
     return pruned.transform(genotypes.mean_impute).transform(genotypes.genotype_probabilities)
 
 

@@ -92,8 +92,10 @@ def test_multiallelic_rows_stay_out(pvcf):
 
 def test_pruned_probabilities(spark, sf_dir):
     from siteloom.plans import fixtures, pipelines
+    from siteloom.sources import matrix
 
-    rows = pipelines.pruned_probabilities(fixtures.pvcf(spark, sf_dir), "sid", lambda g: g["sampleId"].cast("bigint"))
-    passed = pipelines.matrix_qc(fixtures.pvcf(spark, sf_dir)).where(F.size("alternateAlleles") == 1)
-    assert 0 < rows.count() <= passed.count()
-    assert rows.where(F.size("gp") != F.size("dosages")).count() == 0
+    rows = pipelines.pruned_probabilities(fixtures.pvcf(spark, sf_dir), lambda g: g["sampleId"].cast("bigint"))
+    assert 0 < rows.count() <= pipelines.matrix_qc(fixtures.pvcf(spark, sf_dir)).count()
+    assert rows.select("uid").distinct().count() == rows.count()
+    long = matrix.probability_rows(rows.drop("gp", "dosages", "mean_dosage"), "uid")
+    assert long.where(F.size("gp") != 3).count() == 0
