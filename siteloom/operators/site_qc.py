@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteloom.functions import alleles
+from siteloom.functions.funnel import funnel
 
 # Default thresholds of the site filters.
 MIN_CALL_RATE = 0.97
@@ -40,20 +41,8 @@ def filter_sites(df: DataFrame, **thresholds) -> DataFrame:
 
 
 def qc_funnel(df: DataFrame, **thresholds) -> DataFrame:
-    """Rows left after each filter in turn, all counted in one pass: (step_no, step, n_sites)."""
-    passed, counts = F.lit(True), [F.count(F.lit(1)).alias("c0")]
-    names = ["all"]
-    for name, condition in site_filters(**thresholds).items():
-        passed = passed & condition
-        names.append(name)
-        counts.append(F.count_if(passed).alias(f"c{len(names) - 1}"))
-    steps = F.array(
-        *[
-            F.struct(F.lit(i).alias("step_no"), F.lit(n).alias("step"), F.col(f"c{i}").alias("n_sites"))
-            for i, n in enumerate(names)
-        ]
-    )
-    return df.agg(*counts).select(F.inline(steps))
+    """Sites left after each filter in turn, all counted in one pass: (step_no, step, n_rows)."""
+    return funnel(df, site_filters(**thresholds))
 
 
 def log10_p_histogram(df: DataFrame, low: float = -16.0, high: float = 0.0, bins: int = 16) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from siteloom.functions import alleles
+from siteloom.functions.funnel import funnel
 from siteloom.functions.once import compute_once
 
 # Canonical columns a study may map, per-study constants, and the INFO keys in order.
@@ -107,15 +108,25 @@ def upper_alleles(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.upper(c) for c in ("otherAllele", "effectAllele")})
 
 
+def canonical_rows(df: DataFrame, study: Study) -> DataFrame:
+    """Source rows -> canonical rows with upper-case alleles, before any filter."""
+    renamed = df.transform(rename_columns, study).transform(upper_alleles)
+    return compute_once(renamed, {c: F.col(c) for c in study.columns})
+
+
 def qc_summary_stats(df: DataFrame, study: Study, filter_cases_af: bool = False) -> DataFrame:
     """Source rows of one study -> clean canonical rows; one projection and one fused filter."""
-    canonical = df.transform(rename_columns, study).transform(upper_alleles)
-    kept = compute_once(canonical, {c: F.col(c) for c in study.columns})
+    kept = canonical_rows(df, study)
     for condition in qc_filters(study.columns, filter_cases_af).values():
         kept = kept.filter(condition)
     return kept
 
 
+def summary_funnel(df: DataFrame, study: Study, filter_cases_af: bool = False) -> DataFrame:
+    """Rows read in and left after each filter, counted in one pass: (step_no, step, n_rows)."""
+    return funnel(canonical_rows(df, study), qc_filters(study.columns, filter_cases_af))
+
+
 def info_text(df: DataFrame) -> DataFrame:
     """``INFO``: k=v over the present columns in fixed order; a NULL prints "."."""
     tokens = [

@@ -408,7 +408,7 @@ def statements() -> dict[str, str]:
             round(p, 6) AS p_excess_het FROM qc WHERE call_rate > 0.97 AND af > 0.01 AND af < 0.99 AND p > 1e-16
             AND length(alt) = 1 AND ref <> alt AND contigName NOT IN ('chrX', 'chrY')""",
         "qc_funnel": """SELECT CAST(i AS BIGINT) AS step_no, name AS step, count(1) FILTER (WHERE i = 0 OR (call_rate > 0.97 AND (i < 2 OR (af > 0.01 AND af < 0.99))
-            AND (i < 3 OR p > 1e-16) AND (i < 4 OR (length(alt) = 1 AND ref <> alt)) AND (i < 5 OR contigName NOT IN ('chrX', 'chrY')))) AS n_sites
+            AND (i < 3 OR p > 1e-16) AND (i < 4 OR (length(alt) = 1 AND ref <> alt)) AND (i < 5 OR contigName NOT IN ('chrX', 'chrY')))) AS n_rows
             FROM qc, (VALUES (0, 'all'), (1, 'call_rate'), (2, 'allele_frequency'), (3, 'excess_het'), (4, 'snp'), (5, 'autosome')) t(i, name)
             GROUP BY 1, 2""",
         "p_hist": """SELECT CAST(CASE WHEN l < -4 THEN 0 WHEN l >= 0 THEN 9 ELSE floor((l + 4) * 2) + 1 END AS BIGINT) AS bucket,
@@ -467,6 +467,11 @@ def statements() -> dict[str, str]:
             CAST(1000 AS BIGINT) AS cases_N, 'study_0' AS study, 'trait_0' AS phenotype FROM sr""",
         "ss_qc": f"""SELECT CHR, POS, ID, otherAllele, effectAllele,
             {_r('SE', 'beta', 'pvalue', 'infoScore', 'effect_AF', 'cases_AF', 'controls_AF')} FROM sc""",
+        "ss_funnel": """SELECT CAST(i AS BIGINT) AS step_no, name AS step, count(1) FILTER (WHERE i = 0 OR (upper(effectAllele) <> 'I'
+            AND (i < 2 OR (beta IS NOT NULL AND SE IS NOT NULL)) AND (i < 3 OR effect_AF BETWEEN 0.001 AND 0.999)
+            AND (i < 4 OR cases_AF * 1000 * 2 > 25) AND (i < 5 OR infoScore > 0.3))) AS n_rows
+            FROM sr, (VALUES (0, 'all'), (1, 'acgt'), (2, 'effect_known'), (3, 'effect_AF'), (4, 'case_count'), (5, 'infoScore')) t(i, name)
+            GROUP BY 1, 2""",
         "ss_info_build": "SELECT CHR, POS, ID, INFO FROM si",
         "ss_vcf_body": r"""SELECT concat_ws(chr(9), CHR, POS, coalesce(ID, '.'), otherAllele, effectAllele, '.', '.', INFO) AS value FROM si""",
         "src_sites_vcf": """SELECT CHR, POS, coalesce(ID, '.') AS ID, otherAllele AS REF, effectAllele AS ALT, '.' AS QUAL, '.' AS FILTER, INFO

@@ -591,6 +591,12 @@ def ss_qc(spark, sf_dir):
     return _clean(spark, sf_dir).select("CHR", "POS", "ID", "otherAllele", "effectAllele", *values)
 
 
+@query
+def ss_funnel(spark, sf_dir):
+    counts = sumstats.summary_funnel(fixtures.sumstats_raw(spark, sf_dir), _study(spark, sf_dir))
+    return counts.withColumn("step_no", F.col("step_no").cast("bigint"))
+
+
 @query
 def ss_info_build(spark, sf_dir):
     return _clean(spark, sf_dir).transform(sumstats.info_text).select("CHR", "POS", "ID", "INFO")
