@@ -18,10 +18,11 @@ def pipe_sites(
 ) -> DataFrame:
     """Stream VCF body rows through a shell command, one process per partition: text lines out.
 
-    Rows are range-partitioned and sorted by contig and position, and every process reads the header first.
+    Rows are range-partitioned and sorted by contig and position (then alleles, so that a crowded position
+    spreads over several processes), and every process reads the header first.
     This is Spark's own script transform, so lines never pass through Python.
     """
-    order = ["CHR", "POS"]
+    order = ["CHR", "POS", "REF", "ALT"]
     spread = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     lines = body_lines(spread.sortWithinPartitions(*order))
     printed = " ".join(shlex.quote(line) for line in header)

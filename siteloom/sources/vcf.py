@@ -144,12 +144,13 @@ def write_sites(df: DataFrame, path: str, header: list[str] | None = None) -> No
     """Write VCF body rows as text sorted by contig and position.
 
     The part files, concatenated in name order, are one valid file: the header sorts before every row and
-    so opens the first part.
+    so opens the first part. The line itself ends the sort key, so a crowded position can be cut into
+    several parts.
     """
     top = df.sparkSession.createDataFrame(
         [(None, i, text) for i, text in enumerate(header or SITES_HEADER)], "_c string, _p bigint, value string"
     )
     lines = body_lines(df, F.col("CHR").alias("_c"), F.col("POS").alias("_p"))
-    order = [F.asc_nulls_first("_c"), F.asc("_p")]
+    order = [F.asc_nulls_first("_c"), F.asc("_p"), F.asc("value")]
     placed = top.unionByName(lines).repartitionByRange(*order).sortWithinPartitions(*order)
     placed.select("value").write.mode("overwrite").text(path)
