@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm import bpe, packing
+from siteloom.llm import bpe, fingerprints, neardup, packing, quality, shards, toxicity, urls, vectors
 from siteloom.llm.shared import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -18,11 +18,73 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def _remainder(modulus: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
+def op3_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    model = quality.train(docs, labels.where(~held_out))
+    scored = quality.score(docs, model)
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.printed(F.col("signature")).alias("fingerprint"),
+        fingerprints.printed(F.col("edited_signature")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
+        fingerprints.likeness(F.col("signature"), F.col("next_signature")).alias("near_next"),
+    )
+
+
 def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), bpe.vocabulary(VOCABULARY), full=False)
 
 
+def op6_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.cosine_links(table(spark, sf_dir, "embeddings"))
+
+
+def op7_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = F.coalesce(F.col("text"), F.lit(""))
+    size = F.octet_length(whole).cast("bigint") + 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", size.alias("size"), F.crc32(whole.cast("binary")).alias("text_crc32"))
+    made = shards.external_shuffle(docs, ["doc_id", "size", "text_crc32"])
+    return made.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+# Words in host names that put a page's URL on the derived block list.
+LISTED_HOSTS = r"(^|[.-])(casino|bet|bets|gambling|porn|xxx|spam|malware|phishing|pills|viagra|warez)([.-]|$)"
+
+
+def op8_bloom_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No table holds a block list, so it is derived: canonical URLs of pages whose host name holds a listed word."""
+    pages = table(spark, sf_dir, "pages")
+    listed = pages.where(urls.host(F.col("url")).rlike(LISTED_HOSTS)).select(urls.canonical(F.col("url")).alias("canonical"))
+    return urls.judge(pages, listed)
+
+
+def op9_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    model = toxicity.train(docs, labels.where(~held_out))
+    scored = toxicity.score(docs, model)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sum_of_squares_packing, op5_bpe_automaton)
+    f.__name__: f for f in (op1_sum_of_squares_packing, op3_ftrl_quality, op4_order_minhash, op5_bpe_automaton, op6_metric_range_join, op7_external_shuffle, op8_bloom_urls, op9_boosted_toxicity, op10_dart_minhash)
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -61,14 +62,28 @@ def map_texts(
     return frame.mapInArrow(run, f"{kept}, {schema}" if kept else schema)
 
 
+def keep_texts(df: DataFrame, text: str, wanted: Callable[[list[str]], np.ndarray]) -> DataFrame:
+    """The rows of ``df`` whose whole text is wanted, with all columns; a null text is judged as an empty one."""
+    place = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, end in _byte_runs(batch.column(place)):
+                part = batch.slice(begin, end - begin)
+                mask = wanted([t or "" for t in part.column(place).to_pylist()])
+                yield part.filter(pa.array(mask, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def _byte_runs(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     sizes = pc.binary_length(texts).to_pylist()
     begin = size = 0
     for i, n in enumerate(sizes):
-        if i > begin and size + n > limit:
+        if i > begin and size + (n or 0) > limit:
             yield begin, i
             begin, size = i, 0
-        size += n
+        size += n or 0
     if begin < len(sizes):
         yield begin, len(sizes)
 
