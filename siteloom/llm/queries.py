@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm import bpe, fingerprints, neardup, packing, quality, shards, toxicity, urls, vectors
+from siteloom.llm import bpe, fingerprints, htmltext, neardup, packing, quality, shards, toxicity, urls, vectors
 from siteloom.llm.shared import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -18,6 +18,10 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op2_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def _remainder(modulus: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
 
@@ -85,6 +89,6 @@ def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sum_of_squares_packing, op3_ftrl_quality, op4_order_minhash, op5_bpe_automaton, op6_metric_range_join, op7_external_shuffle, op8_bloom_urls, op9_boosted_toxicity, op10_dart_minhash)
+    f.__name__: f for f in (op1_sum_of_squares_packing, op2_consensus_paths, op3_ftrl_quality, op4_order_minhash, op5_bpe_automaton, op6_metric_range_join, op7_external_shuffle, op8_bloom_urls, op9_boosted_toxicity, op10_dart_minhash)
 }
 ORACLE_SQL: dict[str, str] = {}

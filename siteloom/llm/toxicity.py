@@ -2,7 +2,7 @@
 
 Features of a document: densities of lexicon words (built-in and learned), how near they stand to a second-person
 word, shares of capitals, punctuation and obfuscated words, and the length. The learned lexicon holds word stems
-(whole words and prefixes of 4 to 6 letters) that stand in toxic training rows far more often than chance lets
+(whole words and prefixes of 3 to 8 letters) that stand in toxic training rows far more often than chance lets
 them. All is read from the whole text.
 
 Training takes at most about ``SAMPLE_ROWS`` labelled rows, picked by a hash of their key. Eight tenths of them
@@ -31,10 +31,10 @@ from siteloom.llm.textual import Chunks, code
 SAMPLE_ROWS = 12_000
 LEXICON_ENTRIES = 4_000
 # least log-likelihood ratio of a learned stem: five rows, all toxic, where one in nine is
-LEAST_EVIDENCE = 10.5
+LEAST_EVIDENCE = 9.5
 THRESHOLD = 0.7
 NEAR = 5
-STEMS = (4, 5, 6)
+STEMS = (3, 4, 5, 6, 7, 8)
 
 # Insults that need no learning, and second-person words of four languages.
 INSULTS = frozenset(
