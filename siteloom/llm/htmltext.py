@@ -26,6 +26,7 @@ from siteloom.llm.urls import host
 
 PATHS_PER_HOST = 4
 VOTES_PER_PAGE = 6
+TAG_WEIGHTS = {"html": 0.9, "body": 0.9, "article": 2.0, "main": 1.5}
 SALTS = 16
 
 # Fixed values of HTML: elements without end tag, with raw content, and those that break a line of text.
@@ -91,7 +92,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                path = tuple(step for _, step, _ in stack if step)
+                path = ("html", *(step for _, step, _ in stack if step))
                 made.append((path, any(out for _, _, out in stack), linked * 2 > total, text))
             parts.clear()
         linked = total = 0
@@ -154,7 +155,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
 
 
 def votes(page: str) -> list[tuple[str, int]]:
-    """The best containers of a page and their votes: 1000 for the best one, shares of it for the others."""
+    """The best containers of a page and their votes: 1000 for the best one, cubed shares of it for the others."""
     good: dict[str, int] = {}
     bad: dict[str, int] = {}
     for path, outside, linked, text in blocks(page):
@@ -167,13 +168,12 @@ def votes(page: str) -> list[tuple[str, int]]:
     ranked = []
     for name, size in good.items():
         tag, *classes = name.rsplit(">", 1)[-1].split(".")
-        promised = tag in ("article", "main") or any(INSIDE_WORDS.intersection(_WORD(c)) for c in classes)
-        weight = 0.9 if tag == "body" else 1.2 if promised else 1.0
+        weight = TAG_WEIGHTS.get(tag) or (1.2 if any(INSIDE_WORDS.intersection(_WORD(c)) for c in classes) else 1.0)
         ranked.append(((size - bad.get(name, 0)) * weight, name.count(">"), name))
     ranked.sort(key=lambda r: (-r[0], -r[1], r[2]))
     if not ranked or ranked[0][0] <= 0:
         return []
-    return [(name, max(1, int(1000 * value / ranked[0][0]))) for value, _, name in ranked[:VOTES_PER_PAGE] if value > 0]
+    return [(name, max(1, int(1000 * (value / ranked[0][0]) ** 3))) for value, _, name in ranked[:VOTES_PER_PAGE] if value > 0]
 
 
 def main_text(page: str, paths: list[str]) -> str:

@@ -223,7 +223,7 @@ def keep_first(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> D
     """
     judged = written(near_duplicates(docs, key=key, text=text), "judged")
     dropped = judged.where(~F.col("kept")).select(key).distinct()
-    kept = docs.join(narrow(dropped), key, "left_anti")
+    kept = docs.join(narrow(dropped), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     if judged.where("kept").groupBy(key).count().where("count > 1").isEmpty():
         return kept
     return kept.dropDuplicates([key])

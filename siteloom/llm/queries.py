@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from siteloom.llm import bpe, fingerprints, htmltext, neardup, packing, quality, shards, toxicity, urls, vectors
 from siteloom.llm.shared import table
 
@@ -89,6 +90,10 @@ def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sum_of_squares_packing, op2_consensus_paths, op3_ftrl_quality, op4_order_minhash, op5_bpe_automaton, op6_metric_range_join, op7_external_shuffle, op8_bloom_urls, op9_boosted_toxicity, op10_dart_minhash)
-}
+    f.__name__: f
+    for f in (
+        op1_sum_of_squares_packing, op2_consensus_paths, op3_ftrl_quality, op4_order_minhash, op5_bpe_automaton,
+        op6_metric_range_join, op7_external_shuffle, op8_bloom_urls, op9_boosted_toxicity, op10_dart_minhash,
+    )
+} | {"pipeline": corpus_pipeline.run}
 ORACLE_SQL: dict[str, str] = {}
