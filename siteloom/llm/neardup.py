@@ -23,9 +23,9 @@ Source: Christiani, "DartMinHash: fast sketching for weighted sets" (2020).
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +48,10 @@ _WORD = regex.compile(r"[^\p{L}\p{M}\p{N}]+").sub
 
 
 def _describe(chunk: str) -> tuple[int]:
-    word = _WORD("", chunk.lower())
-    return (int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") if word else 0,)
+    word = chunk.lower()
+    if not word.isalnum():
+        word = _WORD("", word)
+    return (int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") if word else 0,)
 
 
 def shingles(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -77,31 +79,35 @@ def darts(keys: np.ndarray, weights: np.ndarray, coordinates: int = COORDINATES)
     ``weights`` may be any positive numbers; a fraction of a unit keeps the darts that fall on it.
     """
     whole = np.ceil(weights).astype(np.int64)
-    owner = np.repeat(np.arange(len(keys)), whole)
-    unit = np.arange(len(owner)) - np.repeat(np.cumsum(whole) - whole, whole)
-    width = np.minimum(1.0, weights[owner] - unit)
-    seed = spread(keys[owner] + unit.astype(np.uint64) * MIX[0])
+    units = int(whole.sum())
+    if units == len(keys):
+        seed, width = spread(keys), weights
+    else:
+        owner = np.repeat(np.arange(len(keys)), whole)
+        unit = np.arange(units) - np.repeat(np.cumsum(whole) - whole, whole)
+        seed, width = spread(keys[owner] + unit.astype(np.uint64) * MIX[0]), np.minimum(1.0, weights[owner] - unit)
     limit = (coordinates * math.log(coordinates) + 2 * coordinates) / float(weights.sum())
     while True:
-        best = np.full(coordinates, np.inf)
-        mark = np.zeros(coordinates, dtype=np.uint64)
-        time, at, n = np.zeros(len(seed)), np.arange(len(seed)), 0
-        while len(at):
-            dart = spread(seed[at] + np.uint64((2 * n + 1) * int(MIX[1]) % 2**64))
+        times, thrown, on = [], [], []
+        time, source, wide, n = 0.0, seed, width, 0
+        while len(source):
+            dart = spread(source + np.uint64((2 * n + 1) * int(MIX[1]) % 2**64))
             time = time - np.log(_unit(dart))
-            soon = time < limit
-            time, at, dart = time[soon], at[soon], dart[soon]
-            place = spread(dart + MIX[2])
-            on = _unit(spread(place)) <= width[at]
-            where = (place[on] % np.uint64(coordinates)).astype(np.int64)
-            order = np.lexsort((dart[on], time[on], where))
-            where, first = np.unique(where[order], return_index=True)
-            earlier = time[on][order][first] < best[where]
-            best[where[earlier]] = time[on][order][first][earlier]
-            mark[where[earlier]] = dart[on][order][first][earlier]
+            soon = np.flatnonzero(time < limit)
+            time, source, wide, dart = time[soon], source[soon], wide[soon], dart[soon]
+            times.append(time)
+            thrown.append(dart)
+            on.append(wide)
             n += 1
-        if np.isfinite(best).all():
-            return mark
+        dart, time, wide = np.concatenate(thrown), np.concatenate(times), np.concatenate(on)
+        place = spread(dart + MIX[2])
+        if units != len(keys) or (width < 1.0).any():
+            hit = _unit(spread(place)) <= wide
+            dart, time, place = dart[hit], time[hit], place[hit]
+        order = np.lexsort((dart, time))
+        where, first = np.unique((place[order] % np.uint64(coordinates)), return_index=True)
+        if len(where) == coordinates:
+            return dart[order[first]]
         limit *= 2
 
 

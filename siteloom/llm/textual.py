@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Callable
 
@@ -22,7 +23,8 @@ class Chunks:
 
     def __init__(self, describe: Callable[[str], tuple[int, ...]], width: int, memo: int = MEMO_CHUNKS):
         self.width = width
-        self.known = Recent(lambda chunk: np.array(describe(chunk), dtype="<u8").tobytes(), memo)
+        pack = struct.Struct(f"<{width}Q").pack
+        self.known = Recent(lambda chunk: pack(*describe(chunk)), memo)
 
     def __call__(self, text: str) -> np.ndarray:
         raw = b"".join(map(self.known.__getitem__, text.split()))
