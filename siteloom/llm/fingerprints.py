@@ -110,27 +110,28 @@ def printed(signature_: Column) -> Column:
     return F.array_join(F.transform(signature_, lambda x: F.lpad(F.lower(F.hex(x.bitwiseAND(F.lit((1 << 32) - 1)))), 8, "0")), "")
 
 
-def with_next(df: DataFrame, key: str, carried: dict[str, Column], buckets: int) -> DataFrame:
+def with_next(df: DataFrame, keys: DataFrame, key: str, carried: tuple[str, ...], buckets: int) -> DataFrame:
     """Each row beside the ``carried`` columns of the next row in descending key order, the first after the last.
 
+    ``keys`` holds the same keys in a cheaper plan, from which the ranges are found.
     Keys are cut into ranges at quantiles, a window orders each range by itself, and the first rows of a range are
     copied to the end of the range before. Null keys come last; equal keys follow their text, then stand as they come.
     """
-    spots = df.stat.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.25 / buckets) if buckets > 1 else []
+    spots = keys.stat.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.25 / buckets) if buckets > 1 else []
     cuts = F.array(*[F.lit(float(x)) for x in sorted(set(spots))]).cast("array<double>")
     rank = F.coalesce(F.size(F.filter(cuts, lambda c: c < F.col(key).cast("double"))), F.lit(-1))
-    ranged = df.withColumn("_range", F.when(F.col(key).isNull(), -1).otherwise(rank))
-    firsts = ranged.groupBy("_range").agg(F.max(key).alias("_first"))
+    rank = F.when(F.col(key).isNull(), -1).otherwise(rank)
+    firsts = keys.groupBy(rank.alias("_range")).agg(F.max(key).alias("_first"))
     order = Window.orderBy(F.desc("_range"))  # one row a range: at most `buckets` rows
     before = F.coalesce(F.lag("_range").over(order), F.first("_last").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     edges = firsts.withColumn("_last", F.min("_range").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     edges = edges.select("_range", "_first", before.alias("_before"))
-    met = ranged.join(F.broadcast(edges), "_range")
+    met = df.withColumn("_range", rank).join(F.broadcast(edges), "_range")
     own = F.struct(F.col("_range").alias("r"), F.lit(0).alias("ghost"))
     copy = F.struct(F.col("_before").alias("r"), F.lit(1).alias("ghost"))
     placed = met.withColumn("_in", F.explode(F.when(F.col(key).eqNullSafe(F.col("_first")), F.array(own, copy)).otherwise(F.array(own))))
-    line = Window.partitionBy("_in.r").orderBy(F.col("_in.ghost"), F.desc_nulls_last(key), *[F.col(c) for c in carried if c == "text"])
-    follow = placed.select(*df.columns, "_in", *[F.lead(c).over(line).alias(n) for n, c in ((f"next_{c}", c) for c in carried)])
+    line = Window.partitionBy("_in.r").orderBy(F.col("_in.ghost"), F.desc_nulls_last(key), *[c for c in carried if c == "text"])
+    follow = placed.select(*df.columns, "_in", *[F.lead(c).over(line).alias(f"next_{c}") for c in carried])
     return follow.where("_in.ghost = 0").drop("_in")
 
 
@@ -143,7 +144,7 @@ def fingerprints(df: DataFrame, *, key: str = "doc_id", text: str = "text", buck
     buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(key).alias("doc_key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     docs = compute_once(docs, {"signature": fingerprint(F.col("text"))})
-    docs = with_next(docs, "doc_key", dict.fromkeys(("text", "signature")), buckets)
+    docs = with_next(docs, df.select(F.col(key).alias("doc_key")), "doc_key", ("text", "signature"), buckets)
     size = F.length("text")
     cut = F.floor(size / 3).cast("int")
     edited = F.concat(F.substring("text", 1, size - cut), F.substring("next_text", 1, cut))
