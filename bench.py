@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -42,6 +43,8 @@ def main() -> None:
         .appName("siteloom-bench")
         .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_PARTITIONS", "16"))
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="siteloom-bench-"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

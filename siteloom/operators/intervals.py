@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteloom.session import BROADCAST_MAX_ROWS, fits_broadcast
+from siteloom.session import BROADCAST_MAX_ROWS, fits_broadcast, small_side
 
 
 def bin_of(pos, width: int):
@@ -39,7 +39,8 @@ def range_join(
 ) -> DataFrame:
     """Join points to the intervals with ``start - pad <= pos <= end + pad`` on the same contig.
 
-    Intervals counted to be few are broadcast, so the points are not shuffled. Otherwise both sides are
+    Intervals are broadcast if their rows, repeated over the bins they cover, were counted to be few; then the points
+    are not shuffled. Otherwise both sides are
     shuffled by (contig, bin, salt): the points of a crowded bin spread over ``salts`` tasks by a hash of
     their columns, and each interval is sent to all of them.
     """
@@ -47,7 +48,7 @@ def range_join(
     left = points.withColumn("_bin", bin_of(F.col(pos), width))
     right = bin_intervals(intervals, low, high, width)
     keys = [contig, "_bin"]
-    if fits_broadcast(intervals, max_broadcast_rows):
+    if fits_broadcast(right, max_broadcast_rows):
         right = F.broadcast(right)
     elif salts > 1:
         atomic = [f.name for f in points.schema.fields if f.dataType.typeName() not in ("array", "map", "struct")]
@@ -64,19 +65,28 @@ def range_join(
     return left.join(right, condition, how).select(*kept)
 
 
-def pairs_within(sites: DataFrame, *, contig: str, pos: str, key: str, window: int, extra=()) -> DataFrame:
+def pairs_within(
+    sites: DataFrame, *, contig: str, pos: str, key: str, window: int, crowd: int | None = None
+) -> DataFrame:
     """Self-join of sites: each unordered pair on one contig at most ``window`` apart, once.
 
     The left site (lower position, then lower key) looks in its own bin and the next one only. Columns of
-    the two sides come out as ``a_<name>`` and ``b_<name>``; ``extra`` equi-join columns stay unprefixed.
+    the two sides come out as ``a_<name>`` and ``b_<name>``. With ``crowd``, the right sites of a bin that holds
+    more than so many are dealt to salts, and the left sites that look there are sent to all of them; other bins
+    have one salt.
     """
-    shared = [contig, *extra]
-    own = [c for c in sites.columns if c not in shared]
+    own = [c for c in sites.columns if c != contig]
     here = bin_of(F.col(pos), window)
-    left = sites.select(
-        *shared, *[F.col(c).alias(f"a_{c}") for c in own], F.explode(F.array(here, here + 1)).alias("_bin")
-    )
-    right = sites.select(*shared, *[F.col(c).alias(f"b_{c}") for c in own], here.alias("_bin"))
+    left = sites.select(contig, *[F.col(c).alias(f"a_{c}") for c in own], F.explode(F.array(here, here + 1)).alias("_bin"))
+    right = sites.select(contig, *[F.col(c).alias(f"b_{c}") for c in own], here.alias("_bin"))
+    keys = [contig, "_bin"]
+    if crowd is not None:
+        full = right.groupBy(*keys).agg(F.ceil(F.count("*") / crowd).cast("int").alias("_salts")).where("_salts > 1")
+        full = small_side(full)
+        salts = F.coalesce("_salts", F.lit(1))
+        left = left.join(full, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        right = right.join(full, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(f"b_{key}"), salts).cast("int"))
+        left, right, keys = left.drop("_salts"), right.drop("_salts"), [*keys, "_salt"]
     gap = F.col(f"b_{pos}") - F.col(f"a_{pos}")
     ordered = (gap > 0) | ((gap == 0) & (F.col(f"a_{key}") < F.col(f"b_{key}")))
-    return left.join(right, [*shared, "_bin"]).where(ordered & (gap <= window)).drop("_bin")
+    return left.join(right, keys).where(ordered & (gap <= window)).drop("_bin", "_salt")

@@ -1,8 +1,8 @@
 """Linkage disequilibrium: r-squared of nearby sites, and pruning to a set without linked pairs.
 
-Genotypes are packed into 64-sample words of three bit planes (called, >=1 alt, 2 alt). Every sum a
-correlation needs is then a population count of two ANDed words, so a pair of sites costs one joined row
-per 64 samples, counts stay exact integers and no genotype array is paired with another.
+Genotypes are packed in the row into 64-sample words of three bit planes (called, >=1 alt, 2 alt). Every sum a
+correlation needs is then a population count of two ANDed words, so a pair of sites costs one joined row, counts
+stay exact integers and no genotype array is exploded or shuffled.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteloom.functions import calls
-from siteloom.operators.genotypes import explode_entries
+from siteloom.functions.once import compute_once
 from siteloom.operators.intervals import pairs_within
 from siteloom.session import checkpoint
 
@@ -21,33 +21,54 @@ WINDOW = 75_000
 
 
 def pack_words(df: DataFrame, key: str, sample_index=None) -> DataFrame:
-    """(contigName, start, key, n, s, d, word, called, one, two) from biallelic rows with genotypes.
+    """(contigName, start, key, n, s, d, words) from biallelic rows with genotypes.
 
+    ``words`` is an array, one struct (called, one, two) for each 64 samples in the order of their numbers.
     Over the called samples: their number n, the dosage sum s, and d = n * sum(x * x) - s * s, which is n
-    times the sum of squared deviations and zero for a constant site.
+    times the sum of squared deviations and zero for a constant site. ``sample_index`` maps the genotype struct
+    to the sample's number; by default it is the position in the array.
     """
-    dosage = F.transform(F.col("genotypes")["calls"], calls.alt_dosage)
-    zero = F.struct(*[F.lit(0).cast("bigint").alias(n) for n in ("n", "s", "q")])
-    fold = F.aggregate(
-        F.filter(dosage, lambda d: d.isNotNull()),
-        zero,
-        lambda a, d: F.struct((a["n"] + 1).alias("n"), (a["s"] + d).alias("s"), (a["q"] + d * d).alias("q")),
+    bigint = lambda value: F.lit(value).cast("bigint")
+    number = (lambda g, i: i) if sample_index is None else (lambda g, i: sample_index(g))
+    entries = F.transform(
+        "genotypes",
+        lambda g, i: F.struct(number(g, i).cast("bigint").alias("i"), calls.alt_dosage(g["calls"]).cast("bigint").alias("x")),
     )
-    n, s, q = F.col("_t.n"), F.col("_t.s"), F.col("_t.q")
-    summed = df.withColumn("_t", fold).withColumns({"n": n, "s": s, "d": n * q - s * s})
-    keys = ["contigName", "start", key, "n", "s", "d"]
-    bit = F.expr("shiftleft(1L, CAST(sample_idx % 64 AS INT))")
-    n_alt = F.col("n_alt")
-    return (
-        explode_entries(summed, *keys, sample_index=sample_index)
-        .where(n_alt.isNotNull())
-        .groupBy(*keys, F.expr("sample_idx div 64").alias("word"))
-        .agg(
-            F.bit_or(bit).alias("called"),
-            F.coalesce(F.bit_or(F.when(n_alt >= 1, bit)), F.lit(0)).alias("one"),
-            F.coalesce(F.bit_or(F.when(n_alt >= 2, bit)), F.lit(0)).alias("two"),
+    names = ("n", "s", "q", "called", "one", "two")
+    zero = F.struct(*[bigint(0).alias(name) for name in names])
+
+    def add(acc: Column, e: Column) -> Column:
+        x, bit = e["x"], F.call_function("shiftleft", bigint(1), (e["i"] % 64).cast("int"))
+        values = (
+            acc["n"] + 1,
+            acc["s"] + x,
+            acc["q"] + x * x,
+            acc["called"].bitwiseOR(bit),
+            acc["one"].bitwiseOR(F.when(x >= 1, bit).otherwise(bigint(0))),
+            acc["two"].bitwiseOR(F.when(x >= 2, bit).otherwise(bigint(0))),
         )
-    )
+        return F.when(x.isNull(), acc).otherwise(F.struct(*[v.alias(c) for v, c in zip(values, names)]))
+
+    def packed(e: Column) -> Column:
+        last = F.coalesce(F.floor(F.array_max(e["i"]) / 64), F.lit(0)).cast("int")
+
+        def word(w: Column) -> Column:
+            # in column order a word is a slice; with other numbers, in ragged arrays, its entries are picked out
+            own = F.slice(e, w * 64 + 1, 64) if sample_index is None else F.filter(e, lambda x: F.floor(x["i"] / 64) == w)
+            return F.aggregate(own, zero, add)
+
+        return F.transform(F.sequence(F.lit(0), last), word)
+
+    message = F.lit("LD needs split rows: a site has several alternate alleles")
+    kind = "array<struct<" + ",".join(f"{c}:bigint" for c in names) + ">>"
+    bound = F.transform(F.array(entries), packed)[0]
+    words = F.when(F.size("alternateAlleles") > 1, F.raise_error(message).cast(kind)).otherwise(bound)
+    once = compute_once(df.select("contigName", "start", key, "alternateAlleles", "genotypes"), {"words": words})
+    total = {c: F.aggregate(F.col("words")[c], bigint(0), lambda t, v: t + v) for c in ("n", "s", "q")}
+    summed = compute_once(once.select("contigName", "start", key, "words"), total)
+    planes = F.transform("words", lambda w: F.struct(w["called"].alias("called"), w["one"].alias("one"), w["two"].alias("two")))
+    d = F.col("n") * F.col("q") - F.col("s") * F.col("s")
+    return summed.select("contigName", "start", key, "n", "s", d.alias("d"), planes.alias("words"))
 
 
 def site_pairs(df: DataFrame, key: str, window: int = WINDOW) -> DataFrame:
@@ -57,37 +78,50 @@ def site_pairs(df: DataFrame, key: str, window: int = WINDOW) -> DataFrame:
     )
 
 
-def ld_r2(df: DataFrame, key: str, window: int = WINDOW, sample_index=None) -> DataFrame:
-    """Squared correlation of mean-imputed dosages for pairs within ``window``.
+def ld_r2(df: DataFrame, key: str, window: int = WINDOW, sample_index=None, min_r2: float | None = None) -> DataFrame:
+    """Squared correlation of mean-imputed dosages for pairs within ``window`` (at least ``min_r2``, if given).
 
     Imputed values sit at the mean, so only samples called at both sites enter the covariance. It is formed
-    from integer sums, scaled by both called counts, so nothing cancels. Pairs without a shared called
-    sample, or with a constant site, have no correlation and give no row.
+    from integer sums, scaled by both called counts, so nothing cancels; the products are decimals, which hold
+    them for any cohort below 300 million samples. Pairs without a shared called sample, or with a constant site,
+    have no correlation and give no row. A row with several alternate alleles is an error: split first.
     """
-    words = pack_words(df.where(F.size("alternateAlleles") == 1), key, sample_index).where(F.col("d") > 0)
-    joined = pairs_within(words, contig="contigName", pos="start", key=key, window=window, extra=["word"])
-
-    def common(x: str, y: str) -> Column:
-        return F.bit_count(F.col(f"a_{x}").bitwiseAND(F.col(f"b_{y}"))).cast("bigint")
+    packed = pack_words(df, key, sample_index).where(F.col("d") > 0)
+    joined = pairs_within(packed, contig="contigName", pos="start", key=key, window=window, crowd=512)
+    zero = F.struct(*[F.lit(0).cast("bigint").alias(name) for name in ("n", "xy", "x", "y")])
+
+    def common(x: Column, y: Column) -> Column:
+        return F.bit_count(x.bitwiseAND(y)).cast("bigint")
+
+    def counted(a: Column, b: Column) -> Column:
+        product = sum((common(a[x], b[y]) for x in ("one", "two") for y in ("one", "two")), F.lit(0))
+        return F.struct(
+            common(a["called"], b["called"]).alias("n"),
+            product.alias("xy"),
+            (common(a["one"], b["called"]) + common(a["two"], b["called"])).alias("x"),
+            (common(a["called"], b["one"]) + common(a["called"], b["two"])).alias("y"),
+        )
 
-    levels = ("one", "two")
-    product = sum((common(x, y) for x in levels for y in levels), F.lit(0))
+    shared = F.least(F.size("a_words"), F.size("b_words"))
+    each = F.zip_with(F.slice("a_words", 1, shared), F.slice("b_words", 1, shared), counted)
+    sums = F.aggregate(each, zero, lambda t, w: F.struct(*[(t[c] + w[c]).alias(c) for c in ("n", "xy", "x", "y")]))
     pair = ["contigName", f"a_{key}", f"b_{key}"]
     totals = [f"{side}_{name}" for side in "ab" for name in ("n", "s", "d")]
-    sums = joined.groupBy(*pair).agg(
-        F.sum(common("called", "called")).alias("n_both"),
-        F.sum(product).alias("_xy"),
-        F.sum(common("one", "called") + common("two", "called")).alias("_x"),
-        F.sum(common("called", "one") + common("called", "two")).alias("_y"),
-        *[F.max(c).alias(c) for c in totals],
-    )
-    na, sa, da, nb, sb, db = (F.col(c) for c in totals)
-    covariance = na * nb * F.col("_xy") - sa * nb * F.col("_y") - sb * na * F.col("_x") + sa * sb * F.col("n_both")
+    met = compute_once(joined.select(*pair, *totals, "a_words", "b_words"), {"_t": sums})
+    exact = {c: F.col(c).cast("decimal(10,0)") for c in totals if not c.endswith("_d")}
+    na, sa, nb, sb = (exact[c] for c in ("a_n", "a_s", "b_n", "b_s"))
+    n, xy, x, y = (F.col(f"_t.{c}").cast("decimal(10,0)") for c in ("n", "xy", "x", "y"))
+    covariance = na * nb * xy - sa * nb * y - sb * na * x + sa * sb * n
     scaled = covariance.cast("double")
-    r2 = scaled * scaled / ((na * da).cast("double") * (nb * db).cast("double"))
-    return sums.where(F.col("n_both") > 0).select(
-        *pair, "n_both", (sa / na).alias("a_mean"), (sb / nb).alias("b_mean"), r2.alias("r2")
+    spread = (F.col("a_n").cast("double") * F.col("a_d").cast("double")) * (F.col("b_n").cast("double") * F.col("b_d").cast("double"))
+    found = met.where(F.col("_t.n") > 0).select(
+        *pair,
+        F.col("_t.n").alias("n_both"),
+        (F.col("a_s") / F.col("a_n")).alias("a_mean"),
+        (F.col("b_s") / F.col("b_n")).alias("b_mean"),
+        (scaled * scaled / spread).alias("r2"),
     )
+    return found if min_r2 is None else found.where(F.col("r2") >= min_r2)
 
 
 def _rank(mean: Column, key: Column, tie: Column | None) -> Column:
@@ -134,10 +168,9 @@ def ld_prune(
     sample_index=None,
     tie_by_key: bool = False,
 ) -> DataFrame:
-    """Biallelic rows of ``df`` after pruning: no two within ``window`` keep r2 >= ``max_r2``."""
-    biallelic = df.where(F.size("alternateAlleles") == 1)
-    removed = linked_away(ld_r2(biallelic, key, window, sample_index), key, max_r2, tie_by_key)
-    return biallelic.join(removed, key, "left_anti")
+    """Rows of ``df`` after pruning: no two within ``window`` keep r2 >= ``max_r2``. Rows must be split."""
+    linked = ld_r2(df, key, window, sample_index, min_r2=max_r2)
+    return df.join(linked_away(linked, key, max_r2, tie_by_key), key, "left_anti")
 
 
 def keep_sites(df: DataFrame, table: DataFrame, on) -> DataFrame:

@@ -13,45 +13,27 @@ CHUNK = 10_000
 NO_TARGET, SPLIT_TARGET, MISMATCH = "NoTarget", "CannotLiftOver", "MismatchedRefAllele"
 
 
-def single_bases() -> Column:
-    """Rows whose alleles are one base each."""
-    return F.coalesce((F.length("REF") == 1) & (F.length("ALT") == 1), F.lit(True))
+def reference_bases(df: DataFrame, reference: DataFrame, length: Column, size: int = CHUNK) -> DataFrame:
+    """Add ``ref_bases``: the reference text of ``length`` bases from (CHR, POS); shorter or NULL off the reference.
 
-
-def by_allele_length(df: DataFrame, run) -> DataFrame:
-    """Apply ``run(rows, single_base)`` to the single-base rows and, where there are any, to the others.
-
-    Lifting and REF repair keep an allele's length, so the rows can be told apart at the source, and the
-    single-base ones, nearly all, are joined to the bare reference chunks.
+    ``reference`` is ref_chunk(contig, chunk, seq) with ``size`` bases per chunk. Every row is joined to the text
+    that begins with the chunk of its first base. Where some allele reaches past its chunk, that text is continued
+    by all the chunks the longest such allele covers, so the result doesn't depend on the chunk size; chunks without
+    such an allele, nearly all, stay as they are.
     """
-    single = single_bases()
-    placed, others = run(df.where(single), True), df.where(~single)
-    return placed if others.isEmpty() else placed.unionByName(run(others, False))
-
-
-def reference_bases(
-    df: DataFrame, reference: DataFrame, length: Column, size: int = CHUNK, single_base: bool = False
-) -> DataFrame:
-    """Add ``ref_bases``: the reference text of ``length`` bases from (CHR, POS); NULL off the reference.
-
-    ``reference`` is ref_chunk(contig, chunk, seq) with ``size`` bases per chunk. A row is joined to the
-    chunk of its first base; each chunk brings its successor along, so alleles may be up to ``size`` long.
-    Rows known to hold single bases need no successor.
-    """
-    text = reference.select(
-        F.col("contig").alias("_contig"), F.col("chunk").alias("_chunk"), F.col("seq").alias("_text")
-    )
-    if not single_base:
-        following = text.select("_contig", (F.col("_chunk") - 1).alias("_chunk"), F.col("_text").alias("_next"))
-        text = text.join(following, ["_contig", "_chunk"], "left").select(
-            "_contig", "_chunk", F.concat("_text", F.coalesce("_next", F.lit(""))).alias("_text")
-        )
+    chunks = reference.select(F.col("contig").alias("_contig"), F.col("chunk").alias("_chunk"), F.col("seq").alias("_text"))
     offset = F.col("POS") - 1
-    joined = df.join(
-        text,
-        (F.col("CHR") == F.col("_contig")) & (F.floor(offset / size).cast("bigint") == F.col("_chunk")),
-        "left",
+    first, last = F.floor(offset / size).cast("bigint"), F.floor((offset + length - 1) / size).cast("bigint")
+    reach = df.where(last > first).select(F.col("CHR").alias("_contig"), first.alias("_from"), last.alias("_to"))
+    reach = reach.groupBy("_contig", "_from").agg(F.max("_to").alias("_to"))
+    more = reach.select("_contig", "_from", F.explode(F.sequence(F.col("_from") + 1, F.col("_to"))).alias("_chunk"))
+    pieces = more.join(chunks, ["_contig", "_chunk"]).groupBy("_contig", F.col("_from").alias("_chunk"))
+    more = pieces.agg(F.sort_array(F.collect_list(F.struct("_chunk", "_text"))).alias("_pieces"))
+    more = more.select("_contig", "_chunk", F.array_join(F.col("_pieces")["_text"], "").alias("_more"))
+    text = chunks.join(more, ["_contig", "_chunk"], "left").select(
+        "_contig", "_chunk", F.concat("_text", F.coalesce("_more", F.lit(""))).alias("_text")
     )
+    joined = df.join(text, (F.col("CHR") == F.col("_contig")) & (first == F.col("_chunk")), "left")
     found = F.substring("_text", (offset % size + 1).cast("int"), length.cast("int"))
     return compute_once(joined, {"ref_bases": found}).drop("_contig", "_chunk", "_text")
 
@@ -111,12 +93,8 @@ def liftover(df: DataFrame, chain: DataFrame, reference: DataFrame, size: int =
     A lifted row's REF must be the target base. Where only ALT is, a single-base row is recovered by
     exchanging the alleles and flagged ``SwappedAlleles`` (also an INFO flag). INFO gets the original place.
     """
-    return by_allele_length(df, lambda rows, single: _liftover(rows, chain, reference, size, single))
-
-
-def _liftover(df: DataFrame, chain: DataFrame, reference: DataFrame, size: int, single_base: bool) -> DataFrame:
     placed = map_positions(df, chain)
-    checked = reference_bases(placed, reference, F.length("REF"), size, single_base)
+    checked = reference_bases(placed, reference, F.length("REF"), size)
     single = (F.length("REF") == 1) & (F.length("ALT") == 1)
     ok = F.col("reject_reason").isNull()
     matches = F.coalesce(F.col("REF") == F.col("ref_bases"), F.lit(False))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteloom.functions.once import compute_once
-from siteloom.operators.liftover import CHUNK, by_allele_length, reference_bases, single_bases
+from siteloom.operators.liftover import CHUNK, reference_bases
 from siteloom.session import checkpoint
 
 NEAR = 64  # bases of left context joined in the first pass; later passes use ever more
@@ -15,12 +15,8 @@ NEAR = 64  # bases of left context joined in the first pass; later passes use ev
 def fix_reference(df: DataFrame, reference: DataFrame, size: int = CHUNK) -> DataFrame:
     """Make REF the reference text. ``ref_fixed``: "none" when it was, "swap" when ALT was and the alleles
     are exchanged, "set" when neither was and REF is replaced, NULL where the reference does not reach."""
-    return by_allele_length(df, lambda rows, single: _fix_reference(rows, reference, size, single))
-
-
-def _fix_reference(df: DataFrame, reference: DataFrame, size: int, single_base: bool) -> DataFrame:
     longest = F.greatest(F.length("REF"), F.length("ALT"))
-    checked = reference_bases(df, reference, longest, size, single_base)
+    checked = reference_bases(df, reference, longest, size)
     begins = lambda allele: F.col("ref_bases").startswith(F.col(allele))
     fixed = checked.withColumn(
         "ref_fixed",
@@ -35,6 +31,11 @@ def _fix_reference(df: DataFrame, reference: DataFrame, size: int, single_base:
     return fixed.withColumns({"REF": ref, "ALT": alt}).drop("ref_bases")
 
 
+def single_bases() -> Column:
+    """Rows whose alleles are one base each."""
+    return F.coalesce((F.length("REF") == 1) & (F.length("ALT") == 1), F.lit(True))
+
+
 def _common_prefix(a: Column, b: Column) -> Column:
     """Length of the longest common prefix of two strings."""
     n = F.least(F.length(a), F.length(b))

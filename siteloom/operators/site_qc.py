@@ -12,7 +12,7 @@ from siteloom.functions.funnel import funnel
 MIN_CALL_RATE = 0.97
 MIN_AF, MAX_AF = 0.01, 0.99
 MIN_EXCESS_HET_P = 1e-16
-SEX_CONTIGS = ("chrX", "chrY")
+SEX_CONTIGS = ("X", "Y")
 
 
 def site_filters(
@@ -28,7 +28,7 @@ def site_filters(
         "allele_frequency": (af > min_af) & (af < max_af),
         "excess_het": F.col("pValueExcessHet") > min_excess_het_p,
         "snp": alleles.is_snp(F.col("referenceAllele"), F.get("alternateAlleles", F.lit(0))),
-        "autosome": ~F.col("contigName").isin(*SEX_CONTIGS),
+        "autosome": ~alleles.strip_contig_prefix(F.col("contigName")).isin(*SEX_CONTIGS),
     }
 
 

@@ -140,24 +140,26 @@ _CTES |= {
         row_number() OVER (PARTITION BY uid, biotype = 'protein_coding'
             ORDER BY abs(distance), GeneName, geneId, biotype, distance) AS rank,
         GeneName, geneId AS EnsemblGeneId, biotype, distance FROM rj""",
-    "lp": """SELECT a.contigName, a.sid AS a_sid, b.sid AS b_sid, a.start AS a_start, b.start AS b_start
-        FROM vs a JOIN vs b ON a.contigName = b.contigName AND a.start < b.start AND b.start - a.start <= 75000
-        WHERE a.n_alt = 1 AND b.n_alt = 1""",
-    "ds": "SELECT sid, s, a1 + a2 AS x FROM ve WHERE called AND n_alt = 1",
-    "dm": """SELECT sid, count(*) AS n, sum(x)::BIGINT AS s, (count(*) * sum(x * x) - sum(x) * sum(x))::BIGINT AS d, sum(x) / count(*) AS mean
-        FROM ds GROUP BY sid""",
-    "lr": """SELECT a_sid, b_sid, n_both, c * c / ((na * da)::DOUBLE * (nb * db)::DOUBLE) AS r2 FROM (
-        SELECT a_sid, b_sid, count(*) AS n_both, ma.n AS na, ma.d AS da, mb.n AS nb, mb.d AS db,
+    # one row per (site, allele), numbered so that both keep the order of sites
+    "sv": """SELECT sid * 2 + i.a - 1 AS vid, contigName, start
+        FROM vs JOIN (VALUES (1), (2)) i(a) ON i.a <= n_alt""",
+    "lp": """SELECT a.contigName, a.vid AS a_vid, b.vid AS b_vid, a.start AS a_start, b.start AS b_start
+        FROM sv a JOIN sv b ON a.contigName = b.contigName AND a.vid < b.vid AND a.start <= b.start AND b.start - a.start <= 75000""",
+    "ds": "SELECT sid * 2 + a_index - 1 AS vid, s, x1 + x2 AS x FROM vd WHERE x1 >= 0 AND x2 >= 0",
+    "dm": """SELECT vid, count(*) AS n, sum(x)::BIGINT AS s, (count(*) * sum(x * x) - sum(x) * sum(x))::BIGINT AS d, sum(x) / count(*) AS mean
+        FROM ds GROUP BY vid""",
+    "lr": """SELECT a_vid, b_vid, n_both, c * c / ((na * da)::DOUBLE * (nb * db)::DOUBLE) AS r2 FROM (
+        SELECT a_vid, b_vid, count(*) AS n_both, ma.n AS na, ma.d AS da, mb.n AS nb, mb.d AS db,
         sum((a.x * ma.n - ma.s) * (b.x * mb.n - mb.s))::DOUBLE AS c
-        FROM lp JOIN ds a ON a.sid = a_sid JOIN ds b ON b.sid = b_sid AND b.s = a.s
-        JOIN dm ma ON ma.sid = a_sid JOIN dm mb ON mb.sid = b_sid
+        FROM lp JOIN ds a ON a.vid = a_vid JOIN ds b ON b.vid = b_vid AND b.s = a.s
+        JOIN dm ma ON ma.vid = a_vid JOIN dm mb ON mb.vid = b_vid
         WHERE ma.d > 0 AND mb.d > 0 GROUP BY ALL)""",
-    "edge": f"""SELECT a_sid AS u, b_sid AS v FROM lr WHERE r2 >= {LINKED_R2}
-        UNION ALL SELECT b_sid, a_sid FROM lr WHERE r2 >= {LINKED_R2}""",
-    "rank": """SELECT sid, row_number() OVER (ORDER BY -least(mean / 2, 1 - mean / 2), sid) AS r
-        FROM dm WHERE sid IN (SELECT u FROM edge)""",
-    "near": """SELECT r.r, r.sid, list(n.r) FILTER (n.r < r.r) AS earlier FROM rank r JOIN edge e ON e.u = r.sid
-        JOIN rank n ON n.sid = e.v GROUP BY 1, 2""",
+    "edge": f"""SELECT a_vid AS u, b_vid AS v FROM lr WHERE r2 >= {LINKED_R2}
+        UNION ALL SELECT b_vid, a_vid FROM lr WHERE r2 >= {LINKED_R2}""",
+    "rank": """SELECT vid, row_number() OVER (ORDER BY -least(mean / 2, 1 - mean / 2), vid) AS r
+        FROM dm WHERE vid IN (SELECT u FROM edge)""",
+    "near": """SELECT r.r, r.vid, list(n.r) FILTER (n.r < r.r) AS earlier FROM rank r JOIN edge e ON e.u = r.vid
+        JOIN rank n ON n.vid = e.v GROUP BY 1, 2""",
     # one pass in rank order: a site is kept unless an earlier kept site is linked to it
     "greedy": """SELECT 0::BIGINT AS r, []::BIGINT[] AS kept
         UNION ALL SELECT g.r + 1, CASE WHEN list_has_any(coalesce(n.earlier, []), g.kept) THEN g.kept
@@ -416,16 +418,17 @@ def statements() -> dict[str, str]:
         "mean_impute": """SELECT sid, sampleId, round(m, 6) AS mean_dosage, round(CASE WHEN called THEN d ELSE m END, 6) AS dosage FROM (
             SELECT *, CAST(a1 > 0 AS INT) + CAST(a2 > 0 AS INT) AS d,
             avg(CASE WHEN called THEN CAST(a1 > 0 AS INT) + CAST(a2 > 0 AS INT) END) OVER (PARTITION BY sid) AS m FROM ve)""",
-        "gp_export": """SELECT sid, sampleId, CASE WHEN called THEN CAST(d = 0 AS DOUBLE) END AS gp0, CASE WHEN called THEN CAST(d = 1 AS DOUBLE) END AS gp1,
+        "gp_export": """SELECT sid, a_index, sampleId, CASE WHEN called THEN CAST(d = 0 AS DOUBLE) END AS gp0, CASE WHEN called THEN CAST(d = 1 AS DOUBLE) END AS gp1,
             CASE WHEN called THEN CAST(d = 2 AS DOUBLE) END AS gp2, round(CASE WHEN called THEN d ELSE m END, 6) AS dosage FROM (
-            SELECT *, a1 + a2 AS d, avg(CASE WHEN called THEN a1 + a2 END) OVER (PARTITION BY sid) AS m FROM ve WHERE n_alt = 1)""",
+            SELECT * REPLACE (CAST(a_index AS BIGINT) AS a_index), x1 + x2 AS d, avg(CASE WHEN called THEN x1 + x2 END) OVER (PARTITION BY sid, a_index) AS m
+            FROM (SELECT * EXCLUDE (called), x1 >= 0 AND x2 >= 0 AS called FROM vd))""",
         "range_join_features": "SELECT uid, CHR, POS, geneId, biotype, distance FROM rj",
         "nearest_genes": "SELECT * FROM ng WHERE rank <= 4",
         "nearest_genes_salted": "SELECT * FROM ng WHERE rank <= 4",
         "ld_pairs": "SELECT * FROM lp",
-        "ld_r2": "SELECT a_sid, b_sid, n_both, round(r2, 6) AS r2 FROM lr",
-        "ld_prune": """SELECT sid, contigName, start FROM vs WHERE n_alt = 1 AND sid IN (SELECT sid FROM vg) AND sid NOT IN (
-            SELECT sid FROM rank WHERE r NOT IN (SELECT unnest(kept) FROM (SELECT kept FROM greedy ORDER BY r DESC LIMIT 1)))""",
+        "ld_r2": "SELECT a_vid, b_vid, n_both, round(r2, 6) AS r2 FROM lr",
+        "ld_prune": """SELECT vid, contigName, start FROM sv WHERE vid // 2 IN (SELECT sid FROM vg) AND vid NOT IN (
+            SELECT vid FROM rank WHERE r NOT IN (SELECT unnest(kept) FROM (SELECT kept FROM greedy ORDER BY r DESC LIMIT 1)))""",
         "ld_semi": "SELECT sid, contigName, start FROM vs WHERE p_size > 25",
         "csq_text_parse": """SELECT uid, CHR, POS, REF, ALT, CASE WHEN sid % 3 = 1 THEN 'AC=1;' ELSE '' END || 'CSQ=' || csqs AS INFO, csqs
             FROM csq WHERE uid IN (SELECT uid FROM text_sids)""",

@@ -93,18 +93,12 @@ def harmonise_study(
     """Source rows of one study -> the harmonised table.
 
     A study on the old build is lifted, which already checks alleles against the reference; one on the
-    target build gets its REF fixed instead. Indels are then left-aligned; they are set apart at the source,
-    so that single-base rows, nearly all of a study, stay one lazy plan.
+    target build gets its REF fixed instead. Indels are then left-aligned. The source is read twice, whether or not
+    it holds indels: once for the alignment of the multi-base rows, once for the others.
     """
     rows = raw.transform(qc_summary_stats, study).transform(to_vcf_rows)
-
-    def place(part: DataFrame) -> DataFrame:
-        if study.build == "hg19":
-            return liftover.lifted_rows(liftover.liftover(part, chain, reference))
-        return normalize.fix_reference(part, reference).drop("ref_fixed")
-
-    single = liftover.single_bases()
-    placed, indels = place(rows.where(single)), rows.where(~single)
-    if not indels.isEmpty():
-        placed = placed.unionByName(normalize.left_align(place(indels), reference))
-    return harmonise.format_harmonised(placed, **options)
+    if study.build == "hg19":
+        placed = liftover.lifted_rows(liftover.liftover(rows, chain, reference))
+    else:
+        placed = normalize.fix_reference(rows, reference).drop("ref_fixed")
+    return harmonise.format_harmonised(normalize.left_align(placed, reference), **options)

@@ -290,9 +290,9 @@ def mean_impute(spark, sf_dir):
 
 @query
 def gp_export(spark, sf_dir):
-    biallelic = fixtures.pvcf(spark, sf_dir).where(F.size("alternateAlleles") == 1)
-    rows = matrix.probability_rows(biallelic, "sid")
-    return rows.select("sid", "sampleId", *[_at("gp", i).alias(f"gp{i}") for i in range(3)], *_round("dosage"))
+    split = pipelines.split_for_qc(fixtures.pvcf(spark, sf_dir)).withColumn("a_index", F.col("a_index").cast("bigint"))
+    rows = matrix.probability_rows(split, "sid", "a_index")
+    return rows.select("sid", "a_index", "sampleId", *[_at("gp", i).alias(f"gp{i}") for i in range(3)], *_round("dosage"))
 
 
 # --- intervals --------------------------------------------------------------------------------------
@@ -336,22 +336,29 @@ def nearest_genes_salted(spark, sf_dir):
     return _nearest_flat(nearest.nearest_genes(*inputs, max_broadcast_rows=0))
 
 
+def _split_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per site and allele with its genotypes, numbered by ``vid`` in the order of sites."""
+    rows = pipelines.split_for_qc(fixtures.pvcf(spark, sf_dir))
+    return rows.withColumn("vid", F.col("sid") * 2 + F.col("a_index").cast("bigint") - 1)
+
+
 @query
 def ld_pairs(spark, sf_dir):
-    biallelic = fixtures.sites(spark, sf_dir).where("n_alt = 1")
-    return ld.site_pairs(biallelic, "sid").select("contigName", "a_sid", "b_sid", "a_start", "b_start")
+    alleles = F.explode(F.sequence(F.lit(0), F.col("n_alt").cast("int") - 1))
+    split = fixtures.sites(spark, sf_dir).withColumn("_i", alleles).withColumn("vid", F.col("sid") * 2 + F.col("_i"))
+    return ld.site_pairs(split, "vid").select("contigName", "a_vid", "b_vid", "a_start", "b_start")
 
 
 @query
 def ld_r2(spark, sf_dir):
-    rows = ld.ld_r2(fixtures.pvcf(spark, sf_dir), "sid", sample_index=_sample)
-    return rows.select("a_sid", "b_sid", "n_both", *_round("r2"))
+    rows = ld.ld_r2(_split_sites(spark, sf_dir), "vid", sample_index=_sample)
+    return rows.select("a_vid", "b_vid", "n_both", *_round("r2"))
 
 
 @query
 def ld_prune(spark, sf_dir):
-    rows = ld.ld_prune(fixtures.pvcf(spark, sf_dir), "sid", LINKED_R2, sample_index=_sample, tie_by_key=True)
-    return rows.select("sid", "contigName", "start")
+    rows = ld.ld_prune(_split_sites(spark, sf_dir), "vid", LINKED_R2, sample_index=_sample, tie_by_key=True)
+    return rows.select("vid", "contigName", "start")
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,10 +32,16 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session gets a temporary folder; a cluster, whose executors could not read one, is an
+    error.
+    """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="siteloom-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)

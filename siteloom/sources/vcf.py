@@ -109,24 +109,44 @@ def parse_pvcf(lines: DataFrame, samples: list[str]) -> DataFrame:
     )
 
 
-def read_pvcf(spark: SparkSession, path: str, check_headers: bool = True) -> DataFrame:
-    """Population variant text under ``path`` -> site rows with nested genotypes."""
+def read_pvcf(spark: SparkSession, path: str, check_headers: bool = True, partitions: int | None = None) -> DataFrame:
+    """Population variant text under ``path`` -> site rows with nested genotypes; ``partitions`` for gzip input."""
     lines = read_lines(spark, path)
-    return parse_pvcf(lines, sample_names(lines, check_headers))
+    samples = sample_names(lines, check_headers)
+    return parse_pvcf(lines.repartition(partitions) if partitions else lines, samples)
 
 
-def valid_loci(df: DataFrame) -> DataFrame:
-    """Recode bare contig labels to chr-prefixed ones; keep positions that exist on a known contig."""
+# Fixed value: names of the assembly's alternate, decoy, unplaced and patch contigs.
+EXTRA_CONTIG = r"^(chr[0-9A-Za-z]+_[A-Z]{2}[0-9]+v[0-9]+(_random|_alt|_decoy|_fix)?|chrEBV|HLA-.+)$"
+
+
+def contig_lengths(lines: DataFrame) -> dict[str, int]:
+    """Lengths by name from the ``##contig`` lines of variant text: one entry a contig of the assembly."""
+    name = F.regexp_extract("value", r"[<,]ID=([^,>]+)", 1)
+    length = F.regexp_extract("value", r"[<,]length=(\d+)", 1).try_cast("bigint")
+    found = lines.where(F.col("value").startswith("##contig=")).select(name.alias("name"), length.alias("length"))
+    return {r["name"]: r["length"] for r in found.where("name <> '' AND length IS NOT NULL").distinct().collect()}
+
+
+def valid_loci(df: DataFrame, lengths: dict[str, int] | None = None) -> DataFrame:
+    """Recode bare contig labels to chr-prefixed ones; keep positions that exist in the assembly.
+
+    ``lengths`` adds contigs (as ``contig_lengths`` reads them). An alternate, decoy or unplaced contig of the
+    assembly whose length isn't given is known by its name, and any position from 0 on is kept.
+    """
     recoded = df.withColumn("contigName", alleles.add_contig_prefix(F.col("contigName")))
-    length = alleles.contig_length(F.col("contigName"))
-    return recoded.where((F.col("start") >= 0) & (F.col("start") < length))
+    length = alleles.contig_length(F.col("contigName"), lengths)
+    named = length.isNull() & F.col("contigName").rlike(EXTRA_CONTIG)
+    return recoded.where((F.col("start") >= 0) & (named | (F.col("start") < length)))
 
 
-def import_vcf(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+def import_vcf(
+    spark: SparkSession, path: str, partitions: int | None = None, lengths: dict[str, int] | None = None
+) -> DataFrame:
     """read_pvcf with recoded contigs and invalid loci skipped; give ``partitions`` for gzip input."""
     lines = read_lines(spark, path)
     samples = sample_names(lines)
-    return valid_loci(parse_pvcf(lines.repartition(partitions) if partitions else lines, samples))
+    return valid_loci(parse_pvcf(lines.repartition(partitions) if partitions else lines, samples), lengths)
 
 
 def read_sites(spark: SparkSession, path: str) -> DataFrame:

@@ -85,9 +85,24 @@ def test_default_ties_leave_a_maximal_set_without_linked_pairs(pvcf, cohort):
         assert i in kept or any(i in pair and (kept & set(pair)) for pair in linked)
 
 
-def test_multiallelic_rows_stay_out(pvcf):
+def test_multiallelic_rows_are_refused(pvcf):
     multi = pvcf.withColumn("alternateAlleles", F.array(F.lit("C"), F.lit("G")))
-    assert ld.ld_prune(multi, "sid", window=WINDOW).count() == 0
+    with pytest.raises(Exception, match="LD needs split rows"):
+        ld.ld_prune(multi, "sid", window=WINDOW).count()
+
+
+def test_genotypes_are_neither_exploded_nor_shuffled_by_word(pvcf):
+    plan = ld.ld_r2(pvcf, "sid", WINDOW)._jdf.queryExecution().executedPlan().toString()
+    assert "posexplode" not in plan and "word#" not in plan
+
+
+def test_crowded_bin_is_salted(spark):
+    """5,000 sites in one bin: every pair once, whatever the salts."""
+    from siteloom.operators.intervals import pairs_within
+
+    sites = spark.range(5000).selectExpr("'chr1' AS contig", "id AS k", "id DIV 50 AS pos")
+    pairs = pairs_within(sites, contig="contig", pos="pos", key="k", window=3, crowd=16)
+    assert pairs.count() == pairs.distinct().count() == 100 * 50 * 49 // 2 + sum((100 - g) * 2500 for g in (1, 2, 3))
 
 
 def test_pruned_probabilities(spark, sf_dir):

