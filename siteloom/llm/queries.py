@@ -96,4 +96,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_metric_range_join, op7_external_shuffle, op8_bloom_urls, op9_boosted_toxicity, op10_dart_minhash,
     )
 } | {"pipeline": corpus_pipeline.run}
-ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL: dict[str, str] = {
+    # a canonical URL names its host, so a page is on the derived list exactly if its own host holds a listed word
+    "op8_bloom_urls": f"""WITH rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
+        cut AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), '{urls.UPPER}', '{urls.LOWER}') AS host,
+            regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+        judged AS (SELECT *, regexp_matches(host, '{LISTED_HOSTS}') AS listed, CASE
+            WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+            WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+            WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+            WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule FROM cut)
+        SELECT page_id, host, path, rule, listed, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN listed THEN 'block' ELSE 'allow' END AS verdict FROM judged""",
+}

@@ -6,6 +6,7 @@ import zlib
 
 import duckdb
 import pytest
+from compare import compare, connect
 from pyspark.sql import functions as F
 
 from siteloom.llm import fingerprints, queries, shards, urls
@@ -139,6 +140,12 @@ def test_filter_has_no_false_negative_and_false_positives_are_removed(spark, mon
     assert got == set(range(300))
 
 
+def test_url_query_equals_sql(spark, sf_dir):
+    for folder in (sf_dir, "/root/testdata/sf0.01"):
+        difference, rows = compare(queries.QUERIES["op8_bloom_urls"](spark, folder), connect(folder), queries.ORACLE_SQL["op8_bloom_urls"])
+        assert difference == ""
+
+
 def test_rules_of_one_length_keep_their_order():
     random.seed(1)
     assert len({h + p for _, h, p in urls.RULES}) == len(urls.RULES)
