@@ -4,7 +4,8 @@ import corpus_pipeline
 from siteloom.llm import neardup, quality, toxicity
 
 
-def test_stages_take_effect(spark, sf_dir, tmp_path):
+def test_stages_take_effect(spark, tmp_path):
+    sf_dir = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     columns, before = docs.columns, docs.count()
