@@ -7,7 +7,7 @@ before it has the outline of a repeat. Features are single words and outline n-g
 function of one sparse dot product.
 
 Training takes at most about ``SAMPLE_ROWS`` labelled rows, picked by a hash of their key: a bound on the
-training cost, documented here. They are dealt to ``LEARNERS`` tasks; each runs per-coordinate FTRL over its rows
+training cost, documented here. They are dealt to up to ``LEARNERS`` tasks; each runs per-coordinate FTRL over its rows
 and the weights are averaged. Scoring covers every row and every whole text.
 
 Sources: McMahan et al., "Ad click prediction: a view from the trenches" (2013); Zinkevich et al., "Parallelized
@@ -30,6 +30,8 @@ from siteloom.llm.textual import MIX, Chunks, code, spread
 DIMENSIONS = 1 << 18
 SAMPLE_ROWS = 12_000
 LEARNERS = 6
+# few rows go to fewer learners, so that each sees enough of them
+ROWS_PER_LEARNER = 1_000
 EPOCHS = 4
 THRESHOLD = 0.3
 # shares are small numbers; scaled, a step of the learner moves the score visibly
@@ -91,8 +93,8 @@ def _row(text: str, label: int) -> tuple[np.ndarray, np.ndarray, int]:
     return np.append(at, DIMENSIONS), np.append(counts * (SCALE / max(1, len(found))), 1.0), label
 
 
-def sample(docs: DataFrame, labels: DataFrame, *, key: str, label: str, bound: int, seed: int = 7) -> DataFrame:
-    """``text`` and ``label`` of at most about ``bound`` labelled rows, the same ones on every run.
+def sample(docs: DataFrame, labels: DataFrame, *, key: str, label: str, bound: int, seed: int = 7) -> tuple[DataFrame, int]:
+    """``text`` and ``_label`` of at most about ``bound`` labelled rows, the same ones on every run; and about how many.
 
     Rows without key or label are no examples. A key labelled twice counts with its largest label.
     """
@@ -100,14 +102,15 @@ def sample(docs: DataFrame, labels: DataFrame, *, key: str, label: str, bound: i
     total = max(1, known.count())
     share = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / 1_000_000
     picked = known.where(share < bound / total)
-    return docs.select(key, "text").join(F.broadcast(picked), key)
+    return docs.select(key, "text").join(F.broadcast(picked), key), min(bound, total)
 
 
 def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: str = "quality", bound: int = SAMPLE_ROWS) -> np.ndarray:
     """The model: ``DIMENSIONS`` weights and a bias, 32-bit, about 1 MB. Without labelled rows all are zero."""
-    rows = sample(docs, labels, key=key, label=label, bound=bound)
+    rows, about = sample(docs, labels, key=key, label=label, bound=bound)
+    learners = max(1, min(LEARNERS, about // ROWS_PER_LEARNER))
     order = F.xxhash64(F.col(key), F.lit(1))
-    dealt = rows.select(F.pmod(order, F.lit(LEARNERS)).alias("learner"), order.alias("order"), "text", "_label")
+    dealt = rows.select(F.pmod(order, F.lit(learners)).alias("learner"), order.alias("order"), "text", "_label")
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("order", kind="stable")

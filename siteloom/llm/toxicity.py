@@ -170,7 +170,7 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: str = "toxic", bound: int = SAMPLE_ROWS) -> Model:
-    picked = sample(docs, labels, key=key, label=label, bound=bound, seed=9)
+    picked, _ = sample(docs, labels, key=key, label=label, bound=bound, seed=9)
     rows = written(picked.select("text", "_label", F.pmod(F.xxhash64(F.col(key), F.lit(3)), F.lit(10)).alias("_fold")), "toxic-rows")
     fit, check = rows.where("_fold < 8"), rows.where("_fold >= 8")
     counts = rows.agg(
