@@ -475,6 +475,10 @@ def statements() -> dict[str, str]:
             AND (i < 4 OR cases_AF * 1000 * 2 > 25) AND (i < 5 OR infoScore > 0.3))) AS n_rows
             FROM sr, (VALUES (0, 'all'), (1, 'acgt'), (2, 'effect_known'), (3, 'effect_AF'), (4, 'case_count'), (5, 'infoScore')) t(i, name)
             GROUP BY 1, 2""",
+        "ss_qc_cases_af": "SELECT CHR, POS, ID, otherAllele, effectAllele, round(cases_AF, 6) AS cases_AF FROM sc WHERE cases_AF BETWEEN 0.001 AND 0.999",
+        "matrix_roundtrip": """SELECT substr(contigName, 4) AS contigName, vid, start, CAST(vid % 2 + 1 AS BIGINT) AS a_index, n_entries, n_alt
+            FROM sv JOIN (SELECT sid * 2 + a_index - 1 AS vid, count(*) AS n_entries,
+                          CAST(sum(CASE WHEN x1 >= 0 AND x2 >= 0 THEN x1 + x2 END) AS BIGINT) AS n_alt FROM vd GROUP BY 1) USING (vid)""",
         "ss_info_build": "SELECT CHR, POS, ID, INFO FROM si",
         "ss_vcf_body": r"""SELECT concat_ws(chr(9), CHR, POS, coalesce(ID, '.'), otherAllele, effectAllele, '.', '.', INFO) AS value FROM si""",
         "src_sites_vcf": """SELECT CHR, POS, coalesce(ID, '.') AS ID, otherAllele AS REF, effectAllele AS ALT, '.' AS QUAL, '.' AS FILTER, INFO

@@ -598,6 +598,14 @@ def ss_qc(spark, sf_dir):
     return _clean(spark, sf_dir).select("CHR", "POS", "ID", "otherAllele", "effectAllele", *values)
 
 
+@query
+def ss_qc_cases_af(spark, sf_dir):
+    """The optional filter on the frequency among cases."""
+    raw, study = fixtures.sumstats_raw(spark, sf_dir), _study(spark, sf_dir)
+    rows = sumstats.qc_summary_stats(raw, study, filter_cases_af=True)
+    return rows.select("CHR", "POS", "ID", "otherAllele", "effectAllele", *_round("cases_AF"))
+
+
 @query
 def ss_funnel(spark, sf_dir):
     counts = sumstats.summary_funnel(fixtures.sumstats_raw(spark, sf_dir), _study(spark, sf_dir))
@@ -776,6 +784,20 @@ def src_vcf_invalid_loci(spark, sf_dir):
     )
 
 
+@query
+def matrix_roundtrip(spark, sf_dir):
+    """Split rows with bare contig labels, written as the two matrix tables and read back."""
+    rows = pipelines.split_for_qc(fixtures.pvcf(spark, sf_dir)).select(
+        "sid", F.col("a_index").cast("bigint").alias("a_index"), F.substring("contigName", 4, 9).alias("contigName"), "start", "genotypes"
+    )
+    keyed = rows.withColumn("vid", F.col("sid") * 2 + F.col("a_index") - 1)
+    path = scratch_path(spark, "matrix")
+    matrix.write_matrix(keyed, path, "vid", sample_index=_sample)
+    sites, entries = matrix.read_matrix(spark, path)
+    counted = entries.groupBy("contigName", "vid").agg(F.count("*").alias("n_entries"), F.sum("n_alt").cast("bigint").alias("n_alt"))
+    return sites.join(counted, ["contigName", "vid"]).select("contigName", "vid", "start", "a_index", "n_entries", "n_alt")
+
+
 @query
 def src_vcf(spark, sf_dir):
     """Population text written with its header, then read back as nested rows."""
