@@ -58,11 +58,11 @@ def op6_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = shards.external_shuffle(table(spark, sf_dir, "documents"), ["doc_id", "text"])
     whole = F.coalesce(F.col("text"), F.lit(""))
     size = F.octet_length(whole).cast("bigint") + 1
-    docs = table(spark, sf_dir, "documents").select("doc_id", size.alias("size"), F.crc32(whole.cast("binary")).alias("text_crc32"))
-    made = shards.external_shuffle(docs, ["doc_id", "size", "text_crc32"])
-    return made.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    crc = F.crc32(whole.cast("binary"))
+    return made.select("doc_id", size.alias("size"), crc.alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 # Words in host names that put a page's URL on the derived block list.

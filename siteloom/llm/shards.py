@@ -1,11 +1,13 @@
 """Two-pass external shuffle into shards, in DataFrame expressions only.
 
-First pass: a seeded hash scatters the records uniformly into buckets small enough for a task's memory. Second pass:
-each bucket is gathered, put into a fixed order, shuffled by Spark's own Fisher-Yates (``shuffle`` with a seed), and
-numbered. The buckets' sizes, counted beforehand, say where each bucket begins in the whole order, and the order is
-cut into shards whose row counts differ by at most one: the law is ``rows``.
+First pass: a seeded hash scatters the whole records uniformly into buckets small enough for a task's memory, by their
+summed bytes and by their number. Second pass: each bucket is put into a fixed order and numbered, and then sorted by a
+seeded hash of that number, which is a random permutation whatever repeats. Both sorts and the numbering spill, and no
+bucket becomes one value, so neither a long text nor a crowded bucket meets Spark's limit of 2 GB. The buckets' sizes,
+counted beforehand, say where each bucket begins in the whole order, and the order is cut into shards whose row counts
+differ by at most one: the law is ``rows``.
 
-Sources: Rao, "Randomized parallel external permutation"; Durstenfeld, "Random permutation" (1964).
+Source: Rao, "Randomized parallel external permutation".
 """
 
 from __future__ import annotations
@@ -14,30 +16,53 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKET_ROWS = 20_000
+BUCKET_BYTES = 32 << 20
 SEED = 20_240_117
 
 
-def external_shuffle(df: DataFrame, keys: list[str], *, shards: int = 8, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def external_shuffle(
+    df: DataFrame, keys: list[str], *, shards: int = 8, seed: int = SEED, bucket_rows: int = BUCKET_ROWS, bucket_bytes: int = BUCKET_BYTES
+) -> DataFrame:
     """All rows and columns of ``df`` with ``shard int`` and ``slot long``, gapless from 0 in each shard.
 
     ``keys`` scatter the rows; keys that repeat fall into one bucket, so give columns that tell rows apart. Null
     keys are hashed like values. Rows that agree in all columns are interchangeable. Names of ``df`` that start
     with ``_`` are not allowed; an empty table gives an empty result.
     """
-    total = df.select(*keys).count()
-    buckets = max(1, math.ceil(total / bucket_rows))
+    total, buckets = bucket_count(df, bucket_rows, bucket_bytes)
     bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
     sizes = df.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count("*").alias("_rows"))
     begins = _begins(sizes)
-    row = F.struct(*[F.col(f"`{k}`") for k in [*keys, *[c for c in df.columns if c not in keys]]])
-    gathered = df.select(bucket.alias("_bucket"), row.alias("_row")).groupBy("_bucket").agg(F.sort_array(F.collect_list("_row")).alias("_all"))
-    placed = gathered.join(begins, "_bucket").sortWithinPartitions("_bucket")
-    shuffled = placed.select("_begin", F.posexplode(F.shuffle("_all", F.lit(seed))).alias("_at", "_row"))
-    number = F.col("_begin") + F.col("_at")
-    shard, slot = cut(number, total, shards)
-    return shuffled.select(*[F.col(f"_row.`{c}`") for c in df.columns], shard.alias("shard"), slot.alias("slot"))
+    fixed = [F.col(f"`{k}`") for k in [*keys, *[c for c in df.columns if c not in keys]]]
+    own = Window.partitionBy("_bucket")
+    placed = df.withColumn("_bucket", bucket).withColumn("_at", F.row_number().over(own.orderBy(*fixed)))
+    placed = placed.withColumn("_turn", F.xxhash64(F.lit(seed), "_bucket", "_at"))
+    placed = placed.withColumn("_to", F.row_number().over(own.orderBy("_turn", "_at"))).join(begins, "_bucket")
+    shard, slot = cut(F.col("_begin") + F.col("_to") - 1, total, shards)
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], shard.alias("shard"), slot.alias("slot"))
+
+
+def bucket_count(df: DataFrame, bucket_rows: int = BUCKET_ROWS, bucket_bytes: int = BUCKET_BYTES) -> tuple[int, int]:
+    """The number of rows, and of buckets that hold neither more rows nor more bytes than given, on the average."""
+    total, size = df.agg(F.count("*"), F.sum(row_bytes(df))).first()
+    return total, max(1, math.ceil(total / bucket_rows), math.ceil((size or 0) / bucket_bytes))
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: texts and binaries by length, nested values by their text, others 8."""
+
+    def one(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            value = value.cast("string")
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.lit(8)
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+
+    return sum((one(f).cast("bigint") for f in df.schema.fields), F.lit(0).cast("bigint"))
 
 
 def _begins(sizes: DataFrame, span: int = 4096) -> DataFrame:

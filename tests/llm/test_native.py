@@ -101,6 +101,21 @@ def test_shuffle_query_and_files(spark, sf_dir, documents, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 50
 
 
+def test_whole_records_are_shuffled_in_buckets_of_bounded_bytes(spark, sf_dir, documents):
+    made = queries.QUERIES["op7_external_shuffle"](spark, sf_dir)
+    moved = [line for line in plan(made).splitlines() if "Window [" in line]
+    columns = spark.read.parquet(f"{sf_dir}/documents.parquet").columns
+    assert any(all(f"{c}#" in line for c in columns) for line in moved)
+    assert "collect_list" not in plan(made)  # no bucket becomes one value
+    docs = documents([(i, "x" * 10_000) for i in range(40)])
+    assert shards.bucket_count(docs, 1000, 50_000)[1] >= 8 and shards.bucket_count(docs, 4, 10**9) == (40, 10)
+    out = shards.external_shuffle(docs, ["doc_id"], bucket_bytes=50_000).collect()
+    assert sorted(r.doc_id for r in out) == list(range(40)) and len({(r.shard, r.slot) for r in out}) == 40
+    same = shards.external_shuffle(documents([(1, "a")] * 30 + [(i, "b") for i in range(30)]), ["doc_id"]).collect()
+    order = [r.text for r in sorted(same, key=lambda r: (r.shard, r.slot))]
+    assert sum(a != b for a, b in zip(order, order[1:])) > 10  # copies of one row are spread too
+
+
 URLS = [
     None, "", "no scheme", "http://", "https://A.Example.NET/en/x?y#z", "https://example.net/EN/", "http://net/", "http://x.org/fr/", "http://x.org/fr", "ftp://evilexample.net/", "http://evil.example.com/de/1",
     "http://example.com?q=/de/", "http://ex.org#/fr/", "http://u:p@Host.NET:80/p", "http://aÄB.org/fr/é", "x://y://z/w", "http://www.List.example.org/a/?utm_source=x&ref=1", "http://list.example.org:80/a", "http://list.example.org/a?id=3",
