@@ -30,7 +30,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteloom.llm.components import components
@@ -43,6 +43,8 @@ BANDS, ROWS = 20, 4
 COORDINATES = BANDS * ROWS
 # Members on either side of a block that one call compares.
 BLOCK = 256
+# Texts are equal if two hashes and the length are.
+SAME = ["_h1", "_h2", "_n"]
 
 _WORD = regex.compile(r"[^\p{L}\p{M}\p{N}]+").sub
 
@@ -133,22 +135,26 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return shared / total if total else 0.0
 
 
+def _identity(text: str) -> list[Column]:
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return [F.xxhash64(whole).alias("_h1"), F.hash(whole).alias("_h2"), F.length(whole).alias("_n")]
+
+
 def _classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """All rows with the node of their text, and one row a node with its buckets.
 
     Nodes are numbered once, in the written table. Texts are equal if two hashes and the length are.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    same = ["_h1", "_h2", "_n"]
-    marked = docs.select(F.col(key).alias("_key"), whole.alias("_text"), F.xxhash64(whole).alias("_h1"), F.hash(whole).alias("_h2"), F.length(whole).alias("_n"))
+    marked = docs.select(F.col(key).alias("_key"), whole.alias("_text"), *_identity(text))
 
     def rows(texts: list[str]) -> dict[str, pa.Array]:
         return {"buckets": pa.array([bands(t) for t in texts], pa.list_(pa.int64()))}
 
-    seen = written(map_texts(marked, ["_key", *same], "_text", "buckets array<bigint>", rows), "signatures")
-    nodes = seen.groupBy(*same).agg(F.min("_key").alias("first_key"), F.first("buckets").alias("buckets"))
+    seen = written(map_texts(marked, ["_key", *SAME], "_text", "buckets array<bigint>", rows), "signatures")
+    nodes = seen.groupBy(*SAME).agg(F.min("_key").alias("first_key"), F.first("buckets").alias("buckets"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    return seen.select("_key", *same).join(nodes.select(*same, "node"), same), nodes
+    return seen.select("_key", *SAME).join(nodes.select(*SAME, "node"), SAME), nodes
 
 
 def _texts(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
@@ -185,6 +191,14 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     is null only if the whole component has no key. Rows that repeat are repeated in the result. ``kept`` marks
     the rows whose key is the class's.
     """
+    part = _parts(docs, key, text).select("_key", "part")
+    least = part.groupBy("part").agg(F.min("_key").alias("class_id"))
+    out = part.join(least, "part")
+    return out.select(F.col("_key").alias(key), "class_id", F.col("_key").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
+def _parts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``_key``, the identity of the text, and ``part``, the near-duplicate component, of every row."""
     rows, nodes = _classes(docs, key, text)
     members = nodes.select("node", F.explode("buckets").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
@@ -199,10 +213,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     more = written(_compared(_open(members, parts), texts), "more")
     parts = components(links.union(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
     part = rows.join(parts.select(F.col("node"), "component"), "node", "left")
-    part = part.select("_key", F.coalesce("component", "node").alias("part"))
-    least = part.groupBy("part").agg(F.min("_key").alias("class_id"))
-    out = part.join(least, "part")
-    return out.select(F.col("_key").alias(key), "class_id", F.col("_key").eqNullSafe(F.col("class_id")).alias("kept"))
+    return part.select("_key", *SAME, F.coalesce("component", "node").alias("part"))
 
 
 def _open(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -297,13 +308,25 @@ def _block_links(outer: dict[int, tuple], every: dict[int, tuple]) -> list[tuple
 
 
 def keep_first(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with one document of each near-duplicate class, all columns unchanged.
+    """One row of each near-duplicate class, all columns unchanged, whatever keys repeat or are null.
 
-    Rows that repeat a kept key are reduced to one. A class without any key keeps one of its rows too.
+    It is a row with the class's least key (without one, of null key); of unlike texts under that key, the one with
+    the least hash. Rows that agree in key and text are interchangeable.
     """
-    judged = written(near_duplicates(docs, key=key, text=text), "judged")
-    dropped = judged.where(~F.col("kept")).select(key).distinct()
-    kept = docs.join(narrow(dropped), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    if judged.where("kept").groupBy(key).count().where("count > 1").isEmpty():
-        return kept
-    return kept.dropDuplicates([key])
+    rows = _parts(docs, key, text).groupBy("_key", *SAME, "part").agg(F.count("*").alias("copies"))
+    rows = written(rows, "judged")
+    first = F.min(F.struct(F.col("_key").isNull().alias("none"), "_key", *SAME, "copies")).alias("one")
+    chosen = written(rows.groupBy("part").agg(first).select("one.*"), "chosen")
+    dropped = written(rows.join(chosen, _same_row(rows, chosen), "left_anti").select("_key", *SAME), "dropped")
+    marked = docs.select("*", *_identity(text), F.col(key).alias("_key"))
+    kept = marked.join(narrow(dropped), _same_row(marked, dropped), "left_anti")
+    if not chosen.where("copies > 1").isEmpty():
+        kept = kept.dropDuplicates(SAME)  # a text is kept under one key only
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _same_row(a: DataFrame, b: DataFrame) -> Column:
+    met = a["_key"].eqNullSafe(b["_key"])
+    for name in SAME:
+        met = met & (a[name] == b[name])
+    return met

@@ -106,6 +106,18 @@ def test_keep_first(documents, copies):
     assert neardup.near_duplicates(documents([(1, None), (2, "a b c")])).where("kept").count() == 2
 
 
+def test_keep_first_decides_by_row(documents, words):
+    """Repeated and null keys: every class keeps one row, and no unlike text is lost."""
+    a, b, c, d, e = (words(s, 80) for s in range(60, 65))
+    rows = [(7, a), (3, b), (7, b), (8, c), (8, d), (8, d), (None, e), (None, edited(e, 1, 0.01)), (None, e), (None, "alone"), (9, "ninth"), (None, "ninth")]
+    for some in (rows, rows[:3], rows[3:5], rows[6:], rows[:1] + rows[6:]):
+        kept = [(r.doc_id, r.text) for r in neardup.keep_first(documents(some)).collect()]
+        held = [t for t in (a, b, c, d, "alone", "ninth") if t in [x for _, x in some]]
+        assert sorted(t for _, t in kept if t in held) == sorted(held)
+        assert len(kept) == len(held) + (e in [x for _, x in some])
+        assert (7, b) not in kept and (None, "ninth") not in kept
+
+
 def brute_links(rows, cosine=0.95):
     good = {}
     for i, (_, v) in enumerate(rows):
