@@ -4,8 +4,9 @@ First pass: each page is read into text blocks, and its containers are scored: g
 count for it, those of menus, links, adverts and the like against it. Containers are named by their path of
 generalised tag-class steps (``body>div.post-content``; digits and identifiers are left out), so pages built
 from one template use the same names. Pages vote for their paths, and Spark sums the votes of each host. Second pass:
-the page is read again, and its main text is what the host's winning path holds; a page that lacks all of them
-falls back to its own best container.
+the page is read again, and its main text is what the host's winning path holds. A path that only holds a better one
+of the host is no answer for pages of another template: these take their own template's path, and a page that lacks all
+of the host's paths falls back to its own best container.
 
 Blocks are cut at block-level tags. References are decoded, white space inside a block becomes one space, and blocks
 are joined by an empty line.
@@ -24,7 +25,10 @@ from pyspark.sql import functions as F
 from siteloom.llm.shared import _byte_runs, narrow, written
 from siteloom.llm.urls import host
 
-PATHS_PER_HOST = 4
+# A host keeps every path with this share of its votes.
+VOTE_SHARE = 0.001
+# Paths of all hosts that a broadcast may hold.
+BROADCAST_PATHS = 200_000
 VOTES_PER_PAGE = 6
 TAG_WEIGHTS = {"html": 0.9, "body": 0.9, "article": 2.0, "main": 1.5}
 SALTS = 16
@@ -154,11 +158,11 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
     return made
 
 
-def votes(page: str) -> list[tuple[str, int]]:
+def votes(page: str, found: list | None = None) -> list[tuple[str, int]]:
     """The best containers of a page and their votes: 1000 for the best one, cubed shares of it for the others."""
     good: dict[str, int] = {}
     bad: dict[str, int] = {}
-    for path, outside, linked, text in blocks(page):
+    for path, outside, linked, text in blocks(page) if found is None else found:
         own = bad if linked or outside else good
         for depth in range(1, len(path) + 1):
             if path[depth - 1].startswith("!"):
@@ -177,16 +181,38 @@ def votes(page: str) -> list[tuple[str, int]]:
 
 
 def main_text(page: str, paths: list[str]) -> str:
-    """The text below the first of ``paths`` that the page has, else below its own best container, else all but outside text."""
+    """The text below the page's path among ``paths``, else below its own best container, else all but outside text."""
     found = blocks(page)
     names = [[">".join(path[:d]) for d in range(1, len(path) + 1)] for path, *_ in found]
-    for name in [*paths, *(own for own, _ in votes(page)[:1])]:
+    best = next((name for name, _ in votes(page, found)), None)
+    for name in _choices(paths, {n for own in names for n in own}, best):
         picked = _kept([block for block, own in zip(found, names) if name in own])
         if picked:
             return "\n\n".join(picked)
     return "\n\n".join(_kept(found))
 
 
+def _choices(paths: list[str], has: set[str], best: str | None) -> list[str]:
+    """The paths that a page ``has``, in order, without those that only hold an earlier one; last its own best.
+
+    If the page's own best path is one of the host's and stands below the first choice, it comes first.
+    """
+    above: set[str] = set()
+    made = []
+    for path in paths:
+        if path in has and path not in above:
+            made.append(path)
+        at = path.rfind(">")
+        while at > 0:
+            above.add(path[:at])
+            at = path.rfind(">", 0, at)
+    if best is None:
+        return made
+    if made and best.startswith(made[0] + ">") and best in paths:
+        return [best, *made]
+    return [*made, best]
+
+
 def _kept(found: list) -> list[str]:
     """Texts of the blocks that stand in no outside element. Two or more blocks of links in a row are a menu."""
     kept = []
@@ -198,7 +224,7 @@ def _kept(found: list) -> list[str]:
 
 
 def winning_paths(pages: DataFrame, *, html: str = "html") -> DataFrame:
-    """``host, paths array<string>``: each host's paths with the most votes, the winner first.
+    """``host, paths array<string>``: each host's paths with ``VOTE_SHARE`` of its votes, the winner first.
 
     Expects ``host`` and the page. Ties go to the deeper path, then the first by name. A frequent host is summed
     inside the tasks first.
@@ -221,7 +247,8 @@ def winning_paths(pages: DataFrame, *, html: str = "html") -> DataFrame:
     total = cast.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
     depth = F.length(F.regexp_replace("path", "[^>]", ""))
     rank = Window.partitionBy("host").orderBy(F.desc("votes"), depth.desc(), "path")
-    best = total.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= PATHS_PER_HOST)
+    share = F.col("votes") / F.sum("votes").over(Window.partitionBy("host"))
+    best = total.withColumn("share", share).where(F.col("share") >= VOTE_SHARE).withColumn("rank", F.row_number().over(rank))
     listed = best.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("rank", "path"))).alias("ranked"))
     return listed.select("host", F.col("ranked.path").alias("paths"))
 
@@ -234,7 +261,8 @@ def extract(df: DataFrame, *, key: str = "page_id", url: str = "url", html: str
     """
     pages = df.select(F.col(key).alias("_key"), F.col(url).alias("_url"), host(F.col(url)).alias("host"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     winners = written(winning_paths(pages), "host-paths")
-    small = narrow(winners, 50_000)
+    held = winners.agg(F.sum(F.size("paths"))).first()[0] or 0
+    small = narrow(winners, 50_000) if held <= BROADCAST_PATHS else winners
     if small is winners:
         pages = pages.withColumn("_salt", F.floor(F.rand(23) * SALTS).cast("int"))
         small = winners.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -39,6 +39,19 @@ def test_hosts_vote(spark):
     assert htmltext.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+def test_minority_templates_keep_their_own_path(spark):
+    """One page in ten of a host has another template: the path that both share is no answer for it."""
+    menu = "<div class=deal><p>buy now</p></div>"
+    main = "<html><body><main><article><p>{0}</p></article></main>" + menu + "</body></html>"
+    post = "<html><body><div class=post><p>{0}</p></div>" + menu + "</body></html>"
+    others = ["<html><body><div class=%s><p>{0}</p></div>%s</body></html>" % (c, menu) for c in ("alpha", "beta", "gamma", "delta", "eta")]
+    body = "the article of this page " * 20
+    rows = [(i, "http://h.org/", (post if i % 10 == 0 else main).format(f"{body}{i}")) for i in range(100)]
+    rows += [(100 + i, "http://k.org/", others[i % 5].format(f"{body}{i + 100}")) for i in range(50)]
+    out = htmltext.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.page_id: r.text for r in out} == {i: f"{body}{i}" for i in range(150)}
+
+
 def test_many_hosts_are_joined_by_salt(spark, monkeypatch):
     rows = [(i, f"http://h{i % 5}.org/", f"<body><article><p>text {i}</p></article><div>menu</div></body>") for i in range(50)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
