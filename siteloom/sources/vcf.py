@@ -117,7 +117,7 @@ def read_pvcf(spark: SparkSession, path: str, check_headers: bool = True, partit
 
 
 # Fixed value: names of the assembly's alternate, decoy, unplaced and patch contigs.
-EXTRA_CONTIG = r"^(chr[0-9A-Za-z]+_[A-Z]{2}[0-9]+v[0-9]+(_random|_alt|_decoy|_fix)?|chrEBV|HLA-.+)$"
+EXTRA_CONTIG = r"^(chr[0-9A-Za-z]+_[A-Z]{2,6}[0-9]+v[0-9]+(_random|_alt|_decoy|_fix)?|chrEBV|HLA-.+)$"
 
 
 def contig_lengths(lines: DataFrame) -> dict[str, int]:
@@ -143,9 +143,14 @@ def valid_loci(df: DataFrame, lengths: dict[str, int] | None = None) -> DataFram
 def import_vcf(
     spark: SparkSession, path: str, partitions: int | None = None, lengths: dict[str, int] | None = None
 ) -> DataFrame:
-    """read_pvcf with recoded contigs and invalid loci skipped; give ``partitions`` for gzip input."""
+    """read_pvcf with recoded contigs and invalid loci skipped; give ``partitions`` for gzip input.
+
+    Contigs that the text's own header declares are known too, unless ``lengths`` is given.
+    """
     lines = read_lines(spark, path)
     samples = sample_names(lines)
+    if lengths is None:
+        lengths = contig_lengths(lines)
     return valid_loci(parse_pvcf(lines.repartition(partitions) if partitions else lines, samples), lengths)
 
 

@@ -44,6 +44,16 @@ def test_import_recodes_and_skips_invalid_loci(spark, folder):
     assert {r.contigName for r in vcf.import_vcf(spark, str(folder)).collect()} == {"chr1", "chr2"}
 
 
+def test_import_keeps_the_contigs_of_the_assembly_and_of_the_header(spark, tmp_path):
+    names = ["chrUn_JTFH01000001v1_decoy", "chrUn_KN707606v1_decoy", "chr1_KI270706v1_random", "own", "other"]
+    top = "##contig=<ID=own,length=30>\n" + HEADER.format("p\tq")
+    lines = [f"{name}\t{at}\t.\tA\tC\t.\tPASS\t.\tGT\t0/0\t0/1\n" for name in names for at in (5, 40)]
+    (tmp_path / "a.vcf").write_text(top + "".join(lines))
+    kept = sorted((r.contigName, r.start) for r in vcf.import_vcf(spark, str(tmp_path)).collect())
+    assert kept == sorted([(n, at) for n in names[:3] for at in (4, 39)] + [("own", 4)])
+    assert {r.contigName for r in vcf.import_vcf(spark, str(tmp_path), lengths={"other": 9}).collect()} == {*names[:3], "other"}
+
+
 def test_gzip_input(spark, tmp_path):
     with gzip.open(tmp_path / "a.vcf.gz", "wt") as out:
         out.write(HEADER.format("p\tq") + LINES)
