@@ -33,8 +33,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their sequence and offset."""
-    made = packing.pack_documents(docs, bpe.vocabulary(VOCABULARY), full=False)
-    return made.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    made = packing.pack_documents(docs, bpe.vocabulary(VOCABULARY))
+    return packing.digested(made, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
 
 STAGES = [("quality", good_quality), ("toxicity", not_toxic), ("near_duplicates", one_of_each), ("packing", packed)]

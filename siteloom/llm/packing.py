@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -120,4 +121,26 @@ def pack(cut: DataFrame, *, key: str = "doc_id", window: int = WINDOW) -> DataFr
 
 def pack_documents(df: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", window: int = WINDOW, end_id: int = END_ID, full: bool = True) -> DataFrame:
     """Tokenise, cut and pack all rows of ``df``: see ``pieces`` and ``pack``. Only ``key`` and ``text`` are read."""
-    return pack(written(pieces(df, path, key=key, text=text, window=window, end_id=end_id, full=full), "pieces"), key=key, window=window)
+    made = pieces(df, path, key=key, text=text, window=window, end_id=end_id, full=full)
+    cut = written(made.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
+    placed = pack(cut.drop("ids"), key=key, window=window)
+    if full:  # the ids meet their places by a join, so no group holds them in memory
+        placed = placed.join(cut.select("_piece", "ids"), "_piece")
+    return placed.select(*made.columns, "sequence_id", "offset")
+
+
+def digested(df: DataFrame, keep: list[str]) -> DataFrame:
+    """The ``keep`` columns with ``ids_crc32`` computed from the token ids that ``df`` holds (little-endian, 32 bits)."""
+    kept = [c for c in keep if c != "ids_crc32"]
+    frame = df.select(*kept, "ids")
+    kinds = dict(frame.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(len(kept))
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).astype("<u4")
+            sums = pa.array([zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends, ends[1:])], pa.int64())
+            columns = dict(zip(kept, batch.columns)) | {"ids_crc32": sums}
+            yield pa.RecordBatch.from_arrays([columns[c] for c in keep], names=keep)
+
+    return frame.mapInArrow(run, ", ".join(f"`{c}` {kinds.get(c, 'bigint')}" for c in keep))

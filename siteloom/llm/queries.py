@@ -15,8 +15,8 @@ VOCABULARY = "word_bpe_49k.json"
 
 
 def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = packing.pack_documents(table(spark, sf_dir, "documents"), bpe.vocabulary(VOCABULARY), full=False)
-    return made.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    made = packing.pack_documents(table(spark, sf_dir, "documents"), bpe.vocabulary(VOCABULARY))
+    return packing.digested(made, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
 
 def op2_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -122,3 +122,16 @@ def test_packing_covers_every_id_once(documents, library, words):
             at += length
         assert at <= 256
     assert sum(r.length for r in out) / (256 * len(filled)) > 0.9
+
+
+def test_packing_query_moves_token_ids(spark, sf_dir, monkeypatch):
+    """The packed rows hold their ids, and the checksum comes from these."""
+    from siteloom.llm import packing, queries
+
+    packed, real = [], packing.pack_documents
+    monkeypatch.setattr(packing, "pack_documents", lambda *a, **k: packed.append(real(*a, **k)) or packed[-1])
+    made = queries.QUERIES["op1_sum_of_squares_packing"](spark, sf_dir)
+    assert made.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert "ids" in packed[0].columns
+    held = packed[0].select(*made.columns).collect()
+    assert held and sorted(made.collect()) == sorted(held)
