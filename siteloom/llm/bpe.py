@@ -30,7 +30,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from siteloom.llm.shared import held, map_texts
+from siteloom.llm.shared import MEMO_BYTES, Recent, held, map_texts
 
 
 # The vocabulary file's rules for splitting and word ends.
@@ -42,7 +42,6 @@ END = chr(256)
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 # Chunks on which every Unicode version agrees: Latin letters, composed, and ASCII signs.
 SIMPLE = r"[!-~\u00c0-\u017e]+"
-MEMO_CHUNKS = 300_000
 
 
 def vocabulary(name: str) -> str:
@@ -158,7 +157,7 @@ class Automaton:
 class Encoder:
     """Whole texts to token ids: chunks between white space are encoded once and remembered."""
 
-    def __init__(self, path: str, memo: int = MEMO_CHUNKS):
+    def __init__(self, path: str, memo: int = MEMO_BYTES):
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         model = described["model"]
@@ -173,7 +172,7 @@ class Encoder:
         self._simple = regex.compile(SIMPLE).fullmatch
         self._marks = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")")
         self._spaces = regex.compile(r"\s+").split
-        self._memo, self._old, self._size = {}, {}, memo
+        self._memo = Recent(self._coded, memo)
 
     def word(self, word: bytes) -> bytes:
         return array("I", self.automaton.encode(word.decode("latin-1"))).tobytes()
@@ -192,9 +191,6 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text. No word holds white space, so chunks are independent."""
-        if len(self._memo) > self._size:
-            self._memo, self._old = {}, self._memo
-        memo = self._memo
         parts: list[list[str]] = []
         for text in texts:
             if "<|" in text:  # special tokens are found in the raw text, before anything else
@@ -202,15 +198,12 @@ class Encoder:
                 parts.append([chunk for piece in pieces for chunk in piece])
             else:
                 parts.append(self._chunks(text))
-            for chunk in set(parts[-1]).difference(memo):
-                made = self._old.get(chunk)
-                if made is None:
-                    if chunk in self.special:
-                        made = array("I", [self.special[chunk]]).tobytes()
-                    else:
-                        made = b"".join(map(self.word, self._words(chunk)))
-                memo[chunk] = made
-        return [b"".join(map(memo.__getitem__, p)) for p in parts]
+        return [b"".join(map(self._memo.__getitem__, p)) for p in parts]
+
+    def _coded(self, chunk: str) -> bytes:
+        if chunk in self.special:
+            return array("I", [self.special[chunk]]).tobytes()
+        return b"".join(map(self.word, self._words(chunk)))
 
     def decode(self, ids: bytes) -> str:
         """The labels of the arcs; this file names no decoder, so labels are joined by one space."""
@@ -223,7 +216,7 @@ class MergedEncoder(Encoder):
     The merger joins any two neighbours whose text is a token; a merge list joins only the pairs it names.
     """
 
-    def __init__(self, path: str, memo: int = MEMO_CHUNKS):
+    def __init__(self, path: str, memo: int = MEMO_BYTES):
         super().__init__(path, memo)
         raw = {symbol: byte for symbol, byte in self._bytes.items()}
         ranks = {}

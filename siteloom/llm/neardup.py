@@ -171,7 +171,7 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, tuple] = Recent(lambda pair: shingles(pair[1]), 64)
+        known: dict[int, tuple] = Recent(lambda pair: shingles(pair[1]), weigh=lambda pair, made: 4 * len(pair[1]) + 16 * len(made[0]))
         for batch in batches:
             a, b, text_a, text_b = (batch.column(i) for i in range(4))
             good = [

@@ -68,8 +68,9 @@ def sum_of_squares(sizes: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray,
 def pieces(df: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", window: int = WINDOW, end_id: int = END_ID, full: bool = True) -> DataFrame:
     """The token ids of every whole text and ``end_id``, cut at multiples of ``window``.
 
-    Gives key, start, length, ids_crc32, doc_tokens, and ``ids array<int>`` unless ``full=False``. A null or empty
-    text is the one id ``end_id``. Repeated rows stay repeated.
+    Gives key, start, length, ids_crc32, doc_tokens, and unless ``full=False`` the ``ids`` as little-endian unsigned
+    32-bit integers (``id_lists`` makes arrays of them). A null or empty text is the one id ``end_id``. Repeated rows
+    stay repeated.
     """
 
     def rows(texts: list[str]) -> dict[str, pa.Array]:
@@ -90,11 +91,11 @@ def pieces(df: DataFrame, path: str, *, key: str = "doc_id", text: str = "text",
         names = ["start", "length", "ids_crc32", "doc_tokens"]
         if full:
             names.append("ids")
-            columns.append(pa.array([np.frombuffer(p[4], "<u4").astype("int32") for p in flat], pa.list_(pa.int32())))
+            columns.append(pa.array([p[4] for p in flat], pa.binary()))
         bounds = np.cumsum([0, *map(len, parts)]).astype("int32")
         return {"_piece": pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays(columns, names=names))}
 
-    struct = "start: bigint, length: bigint, ids_crc32: bigint, doc_tokens: bigint" + (", ids: array<int>" if full else "")
+    struct = "start: bigint, length: bigint, ids_crc32: bigint, doc_tokens: bigint" + (", ids: binary" if full else "")
     return map_texts(df, [key], text, f"_piece array<struct<{struct}>>", rows).select(key, F.inline("_piece"))
 
 
@@ -129,18 +130,20 @@ def pack_documents(df: DataFrame, path: str, *, key: str = "doc_id", text: str =
     return placed.select(*made.columns, "sequence_id", "offset")
 
 
-def digested(df: DataFrame, keep: list[str]) -> DataFrame:
-    """The ``keep`` columns with ``ids_crc32`` computed from the token ids that ``df`` holds (little-endian, 32 bits)."""
-    kept = [c for c in keep if c != "ids_crc32"]
-    frame = df.select(*kept, "ids")
-    kinds = dict(frame.dtypes)
+def id_lists(df: DataFrame, ids: str = "ids") -> DataFrame:
+    """``ids`` as ``array<int>`` instead of little-endian bytes, for readers that want numbers."""
+    kept = [c for c in df.columns if c != ids]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*kept).schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(len(kept))
-            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).astype("<u4")
-            sums = pa.array([zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends, ends[1:])], pa.int64())
-            columns = dict(zip(kept, batch.columns)) | {"ids_crc32": sums}
-            yield pa.RecordBatch.from_arrays([columns[c] for c in keep], names=keep)
+            raw = batch.column(len(kept)).to_pylist()
+            lists = pa.array([None if b is None else np.frombuffer(b, "<u4").astype("int32") for b in raw], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=[*kept, ids])
+
+    return df.select(*kept, ids).mapInArrow(run, f"{schema}, `{ids}` array<int>")
 
-    return frame.mapInArrow(run, ", ".join(f"`{c}` {kinds.get(c, 'bigint')}" for c in keep))
+
+def digested(df: DataFrame, keep: list[str]) -> DataFrame:
+    """The ``keep`` columns with ``ids_crc32`` computed from the ids that ``df`` holds."""
+    return df.withColumn("ids_crc32", F.crc32("ids")).select(*keep)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.session import checkpoint_root, fits_broadcast, scratch_path
+from siteloom.session import fits_broadcast, scratch_path
 
 # Rows of at most a few dozen bytes that a broadcast may hold: about 20 MB.
 NARROW_BROADCAST_ROWS = 400_000
@@ -30,11 +31,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def narrow(df: DataFrame, max_rows: int = NARROW_BROADCAST_ROWS) -> DataFrame:
     """Broadcast a table of a few fixed-width columns only after its rows were counted to be few."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
@@ -88,21 +84,36 @@ def _byte_runs(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         yield begin, len(sizes)
 
 
+# Estimated bytes of keys and values in one generation of a memo, and the longest key that is worth keeping.
+MEMO_BYTES = 40_000_000
+MEMO_KEY_CHARS = 200
+ENTRY_BYTES = 110
+
+
 class Recent(dict):
-    """A bounded memo: ``make(key)`` is called for keys not seen recently, two generations of ``size`` keys are kept."""
+    """A bounded memo: ``make(key)`` is called for keys not seen recently, two generations of ``size`` bytes are kept.
+
+    Strings longer than ``MEMO_KEY_CHARS`` are made anew each time, as a chunk without white space may hold megabytes.
+    """
 
-    def __init__(self, make: Callable, size: int):
+    def __init__(self, make: Callable, size: int = MEMO_BYTES, weigh: Callable | None = None):
         super().__init__()
-        self._make, self._size, self._old = make, size, {}
+        self._make, self._size, self._used, self._old = make, size, 0, {}
+        self._weigh = weigh or (lambda key, value: getsizeof(key) + getsizeof(value))
 
     def __missing__(self, key):
         value = self._old.get(key)
         if value is None:
             value = self._make(key)
-        if len(self) >= self._size:
-            self._old = dict(self)
+            if isinstance(key, str) and len(key) > MEMO_KEY_CHARS:
+                return value
+        cost = self._weigh(key, value) + ENTRY_BYTES
+        if self._used + cost > self._size:
+            self._old, self._used = dict(self), 0
             self.clear()
-        self[key] = value
+        if cost <= self._size:
+            self._used += cost
+            self[key] = value
         return value
 
 
@@ -110,7 +121,8 @@ _held: dict = {}
 
 
 def held(key: tuple, make: Callable):
-    """One object for each Python worker, kept from task to task."""
+    """The one object that a Python worker keeps from task to task: another key frees what the key before left."""
     if key not in _held:
+        _held.clear()
         _held[key] = make()
     return _held[key]

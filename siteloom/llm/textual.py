@@ -8,9 +8,8 @@ from collections.abc import Callable
 
 import numpy as np
 
-from siteloom.llm.shared import Recent
+from siteloom.llm.shared import MEMO_BYTES, Recent
 
-MEMO_CHUNKS = 250_000
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -21,7 +20,7 @@ def code(text: str, seed: int = 0) -> int:
 class Chunks:
     """``describe(chunk)`` gives a fixed number of unsigned 64-bit integers; a text becomes a matrix of them."""
 
-    def __init__(self, describe: Callable[[str], tuple[int, ...]], width: int, memo: int = MEMO_CHUNKS):
+    def __init__(self, describe: Callable[[str], tuple[int, ...]], width: int, memo: int = MEMO_BYTES):
         self.width = width
         pack = struct.Struct(f"<{width}Q").pack
         self.known = Recent(lambda chunk: pack(*describe(chunk)), memo)

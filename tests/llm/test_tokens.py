@@ -105,7 +105,7 @@ def test_sum_of_squares_rule(seed):
 
 def test_packing_covers_every_id_once(documents, library, words):
     rows = [(i, words(i, 30 + 40 * i)) for i in range(60)] + [(1000, None), (1001, ""), (1002, words(9, 9000)), (5, words(5, 230)), (None, "a b")]
-    out = packing.pack_documents(documents(rows), PATH, window=256).collect()
+    out = packing.id_lists(packing.pack_documents(documents(rows), PATH, window=256)).collect()
     whole = {}
     for key, text in rows:
         whole.setdefault(key, library.encode(text or "", add_special_tokens=False).ids + [packing.END_ID])
@@ -135,3 +135,27 @@ def test_packing_query_moves_token_ids(spark, sf_dir, monkeypatch):
     assert "ids" in packed[0].columns
     held = packed[0].select(*made.columns).collect()
     assert held and sorted(made.collect()) == sorted(held)
+
+
+def test_a_worker_keeps_one_object_and_memos_are_bounded_in_bytes():
+    import gc
+    import weakref
+
+    from siteloom.llm import shared
+    from siteloom.llm.textual import Chunks
+
+    first = shared.held(("first",), lambda: Chunks(lambda c: (1,), 1))
+    assert shared.held(("first",), list) is first
+    gone = weakref.ref(first)
+    del first
+    shared.held(("second",), lambda: Chunks(lambda c: (2,), 1))
+    gc.collect()
+    assert gone() is None and len(shared._held) == 1
+    calls = []
+    memo = shared.Recent(lambda k: calls.append(k) or k.encode(), 20_000)
+    for i in range(5000):
+        assert memo[f"k{i}"] == b"k%d" % i
+    assert len(memo) + len(memo._old) < 300 and memo["k4999"] == b"k4999" and len(calls) == 5000
+    for _ in range(2):
+        assert len(memo["x" * 100_000]) == 100_000
+    assert len(calls) == 5002 and "x" * 100_000 not in memo
