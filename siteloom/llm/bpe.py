@@ -30,7 +30,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from siteloom.llm.shared import MEMO_BYTES, Recent, held, map_texts
+from siteloom.llm.shared import Recent, held, map_texts
 
 
 # The vocabulary file's rules for splitting and word ends.
@@ -42,6 +42,8 @@ END = chr(256)
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 # Chunks on which every Unicode version agrees: Latin letters, composed, and ASCII signs.
 SIMPLE = r"[!-~\u00c0-\u017e]+"
+# A word costs more to merge than a hashed chunk to describe, so this memo is larger: two generations of this size.
+MEMO_BYTES = 80_000_000
 
 
 def vocabulary(name: str) -> str:

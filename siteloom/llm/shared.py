@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -87,7 +86,7 @@ def _byte_runs(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
 # Estimated bytes of keys and values in one generation of a memo, and the longest key that is worth keeping.
 MEMO_BYTES = 40_000_000
 MEMO_KEY_CHARS = 200
-ENTRY_BYTES = 110
+ENTRY_BYTES = 170
 
 
 class Recent(dict):
@@ -98,20 +97,18 @@ class Recent(dict):
 
     def __init__(self, make: Callable, size: int = MEMO_BYTES, weigh: Callable | None = None):
         super().__init__()
-        self._make, self._size, self._used, self._old = make, size, 0, {}
-        self._weigh = weigh or (lambda key, value: getsizeof(key) + getsizeof(value))
+        self._make, self._size, self._used, self._old, self._weigh = make, size, 0, {}, weigh
 
     def __missing__(self, key):
         value = self._old.get(key)
         if value is None:
             value = self._make(key)
-            if isinstance(key, str) and len(key) > MEMO_KEY_CHARS:
-                return value
-        cost = self._weigh(key, value) + ENTRY_BYTES
+        # chunks cost at most four bytes a character in Python, and mostly one
+        cost = self._weigh(key, value) if self._weigh else 2 * len(key) + len(value) + ENTRY_BYTES
         if self._used + cost > self._size:
             self._old, self._used = dict(self), 0
             self.clear()
-        if cost <= self._size:
+        if cost <= self._size and (self._weigh or len(key) <= MEMO_KEY_CHARS):
             self._used += cost
             self[key] = value
         return value
