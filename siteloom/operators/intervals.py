@@ -7,7 +7,7 @@ whole contig never becomes one join key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteloom.session import BROADCAST_MAX_ROWS, fits_broadcast, small_side
@@ -65,6 +65,42 @@ def range_join(
     return left.join(right, condition, how).select(*kept)
 
 
+def interval_index(intervals: DataFrame, *, contig: str, start: str, end: str, width: int, entry: Column) -> DataFrame:
+    """One row for each bin that some interval [start, end] touches: contig, ``_bin`` and the sorted array ``entries``.
+
+    A point joined to its one bin row looks through the array in the row, so it stays one row however many
+    intervals overlap there. An array holds as many entries as intervals touch its bin: choose ``width`` for few.
+    """
+    binned = bin_intervals(intervals, F.col(start), F.col(end), width)
+    return binned.groupBy(contig, "_bin").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+
+
+def index_join(
+    points: DataFrame,
+    index: DataFrame,
+    *,
+    contig: str,
+    pos: str,
+    width: int,
+    salts: int = 16,
+    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """Every point once, with the ``entries`` of its bin (NULL where no interval touches it).
+
+    The index is broadcast if it was counted to be small. Otherwise the points of a crowded bin are dealt to
+    ``salts`` by a hash of their columns and the bin's row is repeated for each.
+    """
+    left, keys = points.withColumn("_bin", bin_of(F.col(pos), width)), [contig, "_bin"]
+    if fits_broadcast(index, max_broadcast_rows):
+        index = F.broadcast(index)
+    elif salts > 1:
+        atomic = [f.name for f in points.schema.fields if f.dataType.typeName() not in ("array", "map", "struct")]
+        left = left.withColumn("_salt", F.pmod(F.xxhash64(*atomic), F.lit(salts)).cast("int"))
+        index = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        keys.append("_salt")
+    return left.join(index, keys, "left").select(*points.columns, "entries")
+
+
 def pairs_within(
     sites: DataFrame, *, contig: str, pos: str, key: str, window: int, crowd: int | None = None
 ) -> DataFrame:

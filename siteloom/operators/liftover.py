@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from siteloom.functions import alleles
 from siteloom.functions.once import compute_once
-from siteloom.operators.intervals import range_join
+from siteloom.operators.intervals import index_join, interval_index
+from siteloom.session import small_side, stored
 
 CHUNK = 10_000
-NO_TARGET, SPLIT_TARGET, MISMATCH = "NoTarget", "CannotLiftOver", "MismatchedRefAllele"
+# Bins of the chain index: few blocks touch one, and a genome has about 47,000.
+CHAIN_BIN = 1 << 16
+# The reject reasons that users of lifted files know.
+NO_TARGET, SPLIT_TARGET, MISMATCH, GAP = "NoTarget", "CannotLiftOver", "MismatchedRefAllele", "IndelStraddlesMultipleIntevals"
 
 
 def reference_bases(df: DataFrame, reference: DataFrame, length: Column, size: int = CHUNK) -> DataFrame:
@@ -38,44 +42,67 @@ def reference_bases(df: DataFrame, reference: DataFrame, length: Column, size: i
     return compute_once(joined, {"ref_bases": found}).drop("_contig", "_chunk", "_text")
 
 
-def map_positions(df: DataFrame, chain: DataFrame) -> DataFrame:
-    """Place rows on the target build: new CHR, POS, REF, ALT plus the OriginalContig, OriginalStart and
-    OriginalAlleles they came from. ``reject_reason`` is set, and the place left alone, where there is none.
+def chain_index(chain: DataFrame, width: int = CHAIN_BIN) -> DataFrame:
+    """The alignment blocks of each bin, those of the best chain first: by score, then chain, then place.
 
-    ``chain``: srcContig, srcStart, srcEnd (0-based half-open), dstContig, dstStart, strand. On a reverse
-    block the span is counted from the block's end and both alleles are reverse-complemented.
+    Each block carries how far its chain ``reaches``. Without ``chainId`` every block is a chain of its own; without
+    ``score`` all chains are equally good.
     """
+    own = F.concat_ws(":", "srcContig", "srcStart", "srcEnd", "dstContig", "dstStart", "strand")
+    known = {c.lower() for c in chain.columns}
     blocks = chain.select(
         F.col("srcContig").alias("CHR"),
-        "srcStart",
+        F.col("srcStart").cast("bigint").alias("srcStart"),
+        F.col("srcEnd").cast("bigint").alias("srcEnd"),
         (F.col("srcEnd") - 1).alias("_last"),
-        "srcEnd",
         "dstContig",
-        "dstStart",
+        F.col("dstStart").cast("bigint").alias("dstStart"),
         "strand",
+        (F.col("chainId").cast("string") if "chainid" in known else own).alias("chainId"),
+        (-F.col("score").cast("double") if "score" in known else F.lit(0.0)).alias("rank"),
     )
-    placed = range_join(
-        df.withColumn("_start", F.col("POS") - 1),
-        blocks,
-        contig="CHR",
-        pos="_start",
-        start="srcStart",
-        end="_last",
-        how="left",
+    if "chainid" in known:
+        ends = blocks.groupBy("chainId").agg(F.max("srcEnd").alias("reaches"))
+        blocks = blocks.join(small_side(ends), "chainId")
+    else:
+        blocks = blocks.withColumn("reaches", F.col("srcEnd"))
+    entry = F.struct("rank", "chainId", "srcStart", "srcEnd", "reaches", "dstContig", "dstStart", "strand")
+    return interval_index(blocks, contig="CHR", start="srcStart", end="_last", width=width, entry=entry)
+
+
+def map_positions(df: DataFrame, chain: DataFrame) -> DataFrame:
+    """Place rows on the target build: new CHR, POS, REF, ALT plus the OriginalContig, OriginalStart and
+    OriginalAlleles they came from. ``reject_reason`` is set, and the place left alone, where there is none.
+
+    ``chain``: srcContig, srcStart, srcEnd (0-based half-open), dstContig, dstStart, strand, and optionally chainId and
+    score. Blocks of different chains may overlap: a row takes the block of the best chain that holds its whole
+    span, so every row comes out once for any chain table. On a reverse block the span is counted from the block's
+    end and both alleles are reverse-complemented. A span that begins in a block and leaves it is rejected, with a
+    reason of its own where that chain goes on behind a gap.
+    """
+    placed = index_join(
+        df.withColumn("_start", F.col("POS") - 1), chain_index(chain), contig="CHR", pos="_start", width=CHAIN_BIN
     )
     span_end = F.col("_start") + F.length("REF")
-    reason = F.when(F.col("dstContig").isNull(), NO_TARGET).when(span_end > F.col("srcEnd"), SPLIT_TARGET)
-    forward = F.col("dstStart") + F.col("_start") - F.col("srcStart") + 1
-    reverse = F.col("dstStart") + F.col("srcEnd") - span_end + 1
-    reversed_ = F.col("strand") == "-"
+    begun = F.filter("entries", lambda e: (e["srcStart"] <= F.col("_start")) & (F.col("_start") < e["srcEnd"]))
+    placed = compute_once(placed, {"_begun": begun}).drop("entries")
+    whole = F.get(F.filter("_begun", lambda e: e["srcEnd"] >= span_end), F.lit(0))
+    goes_on = F.exists("_begun", lambda e: e["reaches"] >= span_end)
+    reason = F.when(F.coalesce(F.size("_begun"), F.lit(0)) <= 0, NO_TARGET).when(goes_on, GAP).otherwise(SPLIT_TARGET)
+    placed = compute_once(placed, {"_block": whole, "_reason": reason}).drop("_begun")
+    placed = placed.withColumn("reject_reason", F.when(F.col("_block").isNull(), F.col("_reason")))
+    block = F.col("_block")
+    forward = block["dstStart"] + F.col("_start") - block["srcStart"] + 1
+    reverse = block["dstStart"] + block["srcEnd"] - span_end + 1
+    reversed_ = block["strand"] == "-"
     ok = F.col("reject_reason").isNull()
 
     def allele(name: str) -> Column:
         return F.when(ok & reversed_, alleles.reverse_complement(F.col(name))).otherwise(F.col(name))
 
     kept = [c for c in df.columns if c not in ("CHR", "POS", "REF", "ALT")]
-    return placed.withColumn("reject_reason", reason).select(
-        F.when(ok, F.col("dstContig")).otherwise(F.col("CHR")).alias("CHR"),
+    return placed.select(
+        F.when(ok, block["dstContig"]).otherwise(F.col("CHR")).alias("CHR"),
         F.when(ok, F.when(reversed_, reverse).otherwise(forward)).otherwise(F.col("POS")).alias("POS"),
         allele("REF").alias("REF"),
         allele("ALT").alias("ALT"),
@@ -92,8 +119,10 @@ def liftover(df: DataFrame, chain: DataFrame, reference: DataFrame, size: int =
 
     A lifted row's REF must be the target base. Where only ALT is, a single-base row is recovered by
     exchanging the alleles and flagged ``SwappedAlleles`` (also an INFO flag). INFO gets the original place.
+    The mapped rows are written to the shared folder once, so that the lookup of reference text, which needs them
+    twice, doesn't read and map the source twice.
     """
-    placed = map_positions(df, chain)
+    placed = stored(map_positions(df, chain), "mapped")
     checked = reference_bases(placed, reference, F.length("REF"), size)
     single = (F.length("REF") == 1) & (F.length("ALT") == 1)
     ok = F.col("reject_reason").isNull()

@@ -315,6 +315,35 @@ def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chain_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored chains that overlap: one of two blocks with a gap of 50 bases, and one
+    of another score, across the gap or beside it."""
+    source = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS s", "(s_suppkey div 24) * 500000 AS ss")
+    shift = f"{REFERENCE_PERIOD} * (s % 5 + 1)"
+    layers = [
+        (f"ss + 0, ss + 200000, {label('s')}, ss + {shift}, '+'", "concat('a', s)", "1000 + s % 7"),
+        (f"ss + 200050, ss + 499000, {label('s')}, ss + 200050 + {shift} + {REFERENCE_PERIOD}, '+'", "concat('a', s)", "1000 + s % 7"),
+        (f"ss + IF(s % 4 = 1, 210000, 100000), ss + 400000, {label('s + 1')}, ss + 300000 + 13 * (s % 4), IF(s % 3 = 0, '-', '+')", "concat('b', s)", "1000 + s % 5"),
+    ]
+    made = ", ".join(f"struct({label('s')}, {block}, {name}, {score})" for block, name, score in layers)
+    rows = source.selectExpr(f"inline(array({made}))")
+    return rows.toDF("srcContig", "srcStart", "srcEnd", "dstContig", "dstStart", "strand", "chainId", "score")
+
+
+def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Body rows of 1 to 60 reference bases, half of them near the gaps of ``chain_layers``."""
+    placed = spread(table(spark, sf_dir, "orders").select("o_orderkey")).selectExpr(
+        "o_orderkey AS k",
+        "(o_orderkey div 48) % 3 * 500000 + 1 + CASE WHEN o_orderkey % 8 = 0 THEN 498940 + o_orderkey % 90 WHEN o_orderkey % 2 = 0 THEN (o_orderkey * 7919) % 520000 ELSE 199900 + (o_orderkey * 13) % 220 END AS p",
+        "CASE o_orderkey % 9 WHEN 0 THEN 60 WHEN 1 THEN 5 WHEN 2 THEN 2 ELSE 1 END AS n",
+    )
+    text = "array_join(transform(sequence(0L, n - 1), i -> {}), '')".format(base("p + i"))
+    return placed.selectExpr(
+        f"{label('k')} AS CHR", "p AS POS", "CAST(k AS STRING) AS ID", f"{text} AS REF",
+        f"IF(n = 1, {letter('p * 7 + p div 13 + 1 + k % 3')}, {base('p')}) AS ALT", "'.' AS QUAL", "'.' AS FILTER", "'.' AS INFO",
+    )
+
+
 def _period(offset: int = 0) -> str:
     """The repeating reference text, starting at 1-based position ``offset + 1``."""
     positions = range(offset + 1, offset + 1 + REFERENCE_PERIOD)

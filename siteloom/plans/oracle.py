@@ -495,6 +495,28 @@ def statements() -> dict[str, str]:
             round(CASE WHEN POS % 2 = 0 THEN 1 - controls_AF ELSE controls_AF END, 6) AS controls_AF FROM sc""",
         "liftover": "SELECT CHR, POS, coalesce(ID, '.') AS ID, REF, ALT, INFO FROM lo",
         "liftover_reject": "SELECT CHR, POS, coalesce(ID, '.') AS ID, reason AS reject_reason FROM ll WHERE reason IS NOT NULL",
+        "liftover_chains": f"""WITH src AS (SELECT s_suppkey AS s, (s_suppkey // 24) * 500000 AS ss FROM supplier),
+            blk AS (SELECT {_label('s')} AS c, ss AS b, ss + 200000 AS e, {_label('s')} AS dc, ss + 52 * (s % 5 + 1) AS t, false AS rev, 'a' || s AS name, 1000 + s % 7 AS score FROM src
+                UNION ALL SELECT {_label('s')}, ss + 200050, ss + 499000, {_label('s')}, ss + 200050 + 52 * (s % 5 + 2), false, 'a' || s, 1000 + s % 7 FROM src
+                UNION ALL SELECT {_label('s')}, ss + CASE WHEN s % 4 = 1 THEN 210000 ELSE 100000 END, ss + 400000, {_label('s + 1')}, ss + 300000 + 13 * (s % 4), s % 3 = 0, 'b' || s, 1000 + s % 5 FROM src),
+            far AS (SELECT *, max(e) OVER (PARTITION BY name) AS reach FROM blk),
+            r0 AS (SELECT o_orderkey AS k, {_label('o_orderkey')} AS CHR, (o_orderkey // 48) % 3 * 500000 + 1
+                + CASE WHEN o_orderkey % 8 = 0 THEN 498940 + o_orderkey % 90 WHEN o_orderkey % 2 = 0 THEN (o_orderkey * 7919) % 520000
+                    ELSE 199900 + (o_orderkey * 13) % 220 END AS p,
+                CASE o_orderkey % 9 WHEN 0 THEN 60 WHEN 1 THEN 5 WHEN 2 THEN 2 ELSE 1 END AS n FROM orders),
+            r AS (SELECT *, list_aggregate(list_transform(range(0, n), lambda i: {_base('p + i')}), 'string_agg', '') AS REF,
+                CASE WHEN n = 1 THEN {_letter('p * 7 + p // 13 + 1 + k % 3')} ELSE {_base('p')} END AS ALT FROM r0),
+            best AS (SELECT k, dc, b, e, t, rev FROM r JOIN far ON c = CHR AND p - 1 >= b AND p - 1 + n <= e
+                QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, name, b) = 1),
+            hit AS (SELECT k, bool_or(reach >= p - 1 + n) AS goes_on FROM r JOIN far ON c = CHR AND p - 1 >= b AND p - 1 < e GROUP BY k),
+            m AS (SELECT r.*, dc, goes_on, CASE WHEN dc IS NULL THEN p WHEN rev THEN t + e - (p - 1 + n) + 1 ELSE t + p - 1 - b + 1 END AS np,
+                CASE WHEN rev THEN reverse(translate(REF, 'ACGT', 'TGCA')) ELSE REF END AS nr,
+                CASE WHEN rev THEN reverse(translate(ALT, 'ACGT', 'TGCA')) ELSE ALT END AS na FROM r LEFT JOIN best USING (k) LEFT JOIN hit USING (k)),
+            j AS (SELECT *, list_aggregate(list_transform(range(0, n), lambda i: {_base('np + i')}), 'string_agg', '') AS tb FROM m),
+            w AS (SELECT *, dc IS NOT NULL AND nr <> tb AND n = 1 AND na = tb AS swapped FROM j)
+            SELECT CAST(k AS VARCHAR) AS ID, coalesce(dc, CHR) AS CHR, np AS POS, CASE WHEN swapped THEN na ELSE nr END AS REF, CASE WHEN swapped THEN nr ELSE na END AS ALT,
+                swapped AS SwappedAlleles, CHR AS OriginalContig, p AS OriginalStart, CASE WHEN dc IS NOT NULL THEN CASE WHEN nr <> tb AND NOT swapped THEN 'MismatchedRefAllele' END
+                WHEN goes_on IS NULL THEN 'NoTarget' WHEN goes_on THEN 'IndelStraddlesMultipleIntevals' ELSE 'CannotLiftOver' END AS reject_reason FROM w""",
         "swap_count": "SELECT count(*) AS n_rows, count(1) FILTER (WHERE swapped) AS n_swapped FROM lo",
         "ref_check": """SELECT CHR, POS, coalesce(ID, '.') AS ID, base AS REF, CASE WHEN fixed = 'swap' THEN otherAllele ELSE effectAllele END AS ALT,
             fixed AS ref_fixed FROM rcs""",

@@ -675,6 +675,14 @@ def liftover_reject(spark, sf_dir):
     return liftover.rejected_rows(_lifted(spark, sf_dir)).select("CHR", "POS", "ID", "reject_reason")
 
 
+@query
+def liftover_chains(spark, sf_dir):
+    """Overlapping chains, spans over gaps and multi-base alleles: every row once, lifted or with its reason."""
+    chains, reference = fixtures.chain_layers(spark, sf_dir), fixtures.reference(spark, sf_dir)
+    rows = liftover.liftover(fixtures.spans(spark, sf_dir), chains, reference)
+    return rows.select("ID", "CHR", "POS", "REF", "ALT", "SwappedAlleles", "OriginalContig", "OriginalStart", "reject_reason")
+
+
 @query
 def swap_count(spark, sf_dir):
     return liftover.count_swapped(liftover.lifted_rows(_lifted(spark, sf_dir)))

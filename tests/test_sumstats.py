@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from siteloom.operators import harmonise, liftover, normalize
+from siteloom.operators import harmonise, intervals, liftover, normalize
 from siteloom.operators.sumstats import Study, info_text, qc_summary_stats, rename_columns, to_vcf_rows
 from siteloom.plans import pipelines
 from siteloom.sources import sumstats as source
@@ -182,6 +182,32 @@ def test_fix_reference(spark, reference):
     }
 
 
+def test_best_chain_takes_the_whole_span_and_no_row_repeats(spark, reference):
+    chain = spark.createDataFrame(
+        [
+            ("5", 100, 120, "6", 0, "+", "good", 9.0), ("5", 124, 140, "6", 20, "+", "good", 9.0), ("5", 90, 130, "6", 40, "+", "wide", 5.0),
+            ("5", 90, 200, "6", 60, "+", "tied b", 5.0), ("5", 300, 310, "6", 0, "+", "gap", 1.0), ("5", 312, 320, "6", 10, "+", "gap", 1.0), ("5", 318, 320, "6", 10, "+", "end", 2.0),
+        ],
+        "srcContig string, srcStart bigint, srcEnd bigint, dstContig string, dstStart bigint, strand string, chainId string, score double",
+    )
+    rows = [
+        ("5", 111, "best", "A", "C"), ("5", 120, "span leaves the best chain's block", "AA", "C"), ("5", 122, "only the lesser ones", "A", "C"), ("5", 129, "beyond wide", "AAAA", "C"),
+        ("5", 309, "over a gap", "AAAAA", "C"), ("5", 311, "inside a gap", "A", "C"), ("5", 320, "past the chain", "AA", "C"), ("5", 299, "before", "AAA", "C"), ("9", 1, "nowhere", "A", "C"),
+    ]
+    body = spark.createDataFrame([(*r[:3], *r[3:], ".", ".", "") for r in rows * 2], "CHR string, POS bigint, ID string, REF string, ALT string, QUAL string, FILTER string, INFO string")
+    for many in (10**6, 0):  # the index broadcast, or shuffled with salts
+        index = intervals.index_join(body.withColumn("_start", F.col("POS") - 1), liftover.chain_index(chain), contig="CHR", pos="_start", width=liftover.CHAIN_BIN, max_broadcast_rows=many)
+        assert index.count() == len(rows) * 2
+    made = liftover.map_positions(body, chain).collect()
+    assert len(made) == len(rows) * 2
+    got = {r.ID: (r.CHR, r.POS, r.reject_reason) for r in made}
+    assert got == {
+        "best": ("6", 11, None), "span leaves the best chain's block": ("6", 90, None), "only the lesser ones": ("6", 92, None), "beyond wide": ("6", 25, None),
+        "over a gap": ("5", 309, liftover.GAP), "inside a gap": ("5", 311, liftover.NO_TARGET), "past the chain": ("5", 320, liftover.SPLIT_TARGET), "before": ("5", 299, liftover.NO_TARGET),
+        "nowhere": ("9", 1, liftover.NO_TARGET),
+    }
+
+
 def test_liftover_cases(spark, reference):
     comp = str.maketrans("ACGT", "TGCA")
     chain = spark.createDataFrame(
