@@ -138,6 +138,39 @@ def pvcf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The meta lines of the fixture's text.
+META_LINES = [
+    "##fileformat=VCFv4.2",
+    '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
+    '##FORMAT=<ID=DP,Number=1,Type=Integer,Description="Depth">',
+    '##FORMAT=<ID=GQ,Number=1,Type=Integer,Description="Quality">',
+    '##FORMAT=<ID=PL,Number=G,Type=Integer,Description="Likelihoods">',
+    '##FORMAT=<ID=AB,Number=1,Type=Float,Description="Balance">',
+    '##FORMAT=<ID=FT,Number=1,Type=String,Description="Filter">',
+]
+
+
+def write_pvcf_text(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Population text of all entries: the r-th entry of a site, by sample number, stands in sample column r."""
+    high, low = "greatest(a1, a2)", "least(a1, a2)"
+    place = f"{high} * ({high} + 1) div 2 + {low}"
+    values = f"transform(sequence(0, (n_alt + 1) * (n_alt + 2) div 2 - 1), i -> CAST(IF(i = {place}, 0, (k * 7 + i * 13) % 60 + 1) AS STRING))"
+    cell = f"""concat_ws(':', concat(IF(a1 < 0, '.', CAST(a1 AS STRING)), IF(k % 2 = 0, '|', '/'), IF(a2 < 0, '.', CAST(a2 AS STRING))), CAST(dp AS STRING),
+        CAST(k % 50 AS STRING), IF({low} < 0, '.', array_join({values}, ',')), CAST((k % 8) / 8 AS STRING), IF(k % 5 = 0, '.', concat('f', k % 5)))"""
+    held = entries(spark, sf_dir).selectExpr("sid", f"struct(s, {cell} AS cell) AS held").groupBy("sid")
+    rows = held.agg(F.sort_array(F.collect_list("held")).alias("cells")).selectExpr("sid", "cells.cell AS cells", "size(cells) AS n")
+    rows.write.parquet(f"{path}-cells")  # the number of sample columns comes from the data
+    rows = spark.read.parquet(f"{path}-cells")
+    width = rows.agg(F.max("n")).first()[0] or 0
+    body = sites(spark, sf_dir).join(rows, "sid").selectExpr(
+        r"""concat_ws('\t', contigName, POS, '.', ref, IF(n_alt = 2, concat(alt1, ',', alt2), alt1), '.', 'PASS', concat('SID=', sid), 'GT:DP:GQ:PL:AB:FT',"""
+        + rf""" array_join(concat(cells, array_repeat('./.', {width} - n)), '\t')) AS value"""
+    )
+    columns = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *[f"s{i}" for i in range(width)]])
+    top = spark.createDataFrame([(text,) for text in [*META_LINES, columns]], "value string")
+    top.coalesce(1).unionByName(body).write.text(path)
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "customer")

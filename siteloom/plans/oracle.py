@@ -332,7 +332,9 @@ def _sql(select: str) -> str:
                 ordered.remove(n)
                 break
     recursive = "RECURSIVE " if names & _RECURSIVE else ""
-    return f"WITH {recursive}" + ",\n".join(f"{n} AS ({_CTES[n]})" for n in placed) + "\n" + select
+    own = select.startswith("WITH ")  # a statement's own tables follow the shared ones
+    select = select.removeprefix("WITH ")
+    return f"WITH {recursive}" + ",\n".join(f"{n} AS ({_CTES[n]})" for n in placed) + (",\n" if own else "\n") + select
 
 
 def _calls(x: str = "x") -> str:
@@ -541,11 +543,29 @@ def statements() -> dict[str, str]:
             FROM vs, (VALUES ('p', '0,1', false, 9, 2, 3), ('q', '-1,-1', false, NULL, 1, NULL), ('r', '1,1', true, NULL, NULL, NULL))
                  t(sampleId, calls, phased, depth, n_depths, ad0)
             WHERE sid % 17 <> 0 AND sid % 13 <> 0 AND sid % 19 <> 0""",
-        "src_vcf": """SELECT contigName, start, start + 1 AS "end", CAST(sid AS VARCHAR) AS sid, 's' || i AS sampleId,
-            coalesce(a1 || ',' || a2, '-1,-1') AS calls, coalesce(k % 2 = 0, false) AS phased, dp AS depth
-            FROM vs JOIN (SELECT DISTINCT sid FROM vg) USING (sid), (VALUES (0), (1), (2), (3), (4)) t(i)
-            LEFT JOIN (SELECT sid AS es, s % 5 AS slot, arg_min(a1, k) AS a1, arg_min(a2, k) AS a2, arg_min(dp, k) AS dp, min(k) AS k
-                       FROM ve GROUP BY 1, 2) ON es = sid AND slot = i""",
+        "src_vcf": """WITH cell AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY s) - 1 AS i FROM ve),
+            wide AS (SELECT sid, i FROM (SELECT DISTINCT sid FROM vg), range((SELECT max(n) FROM (SELECT count(*) AS n FROM vg GROUP BY sid))) t(i))
+            SELECT contigName, start, start + 1 AS "end", CAST(sid AS VARCHAR) AS sid, 's' || i AS sampleId,
+            coalesce(a1 || ',' || a2, '-1,-1') AS calls, coalesce(k % 2 = 0, false) AS phased, dp AS depth, k % 50 AS quality,
+            CASE WHEN a1 >= 0 AND a2 >= 0 THEN list_aggregate(list_transform(range(0, (vs.n_alt + 1) * (vs.n_alt + 2) // 2), lambda g:
+                CASE WHEN g = greatest(a1, a2) * (greatest(a1, a2) + 1) // 2 + least(a1, a2) THEN 0 ELSE (k * 7 + g * 13) % 60 + 1 END), 'string_agg', ',') END AS likelihoods,
+            (k % 8) / 8 AS balance, CASE WHEN k % 5 > 0 THEN 'f' || k % 5 END AS filter
+            FROM wide JOIN vs USING (sid) LEFT JOIN (SELECT * EXCLUDE (n_alt) FROM cell) USING (sid, i)""",
+        # likelihoods of the old genotypes lo/hi, their number of own alleles, and the least of each class
+        "fix_multi_pl": """WITH cell AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY s) - 1 AS i FROM ve),
+            wide AS (SELECT sid, i FROM (SELECT DISTINCT sid FROM vg), range((SELECT max(n) FROM (SELECT count(*) AS n FROM vg GROUP BY sid))) t(i)),
+            pairs AS (SELECT hi.x AS hi, lo.x AS lo, hi.x * (hi.x + 1) // 2 + lo.x AS g FROM (VALUES (0), (1), (2)) hi(x), (VALUES (0), (1), (2)) lo(x) WHERE lo.x <= hi.x),
+            own AS (SELECT sid, i, a_index, k, n_alt, a1, a2, CAST(lo = a_index AS INT) + CAST(hi = a_index AS INT) AS c,
+                CASE WHEN g = greatest(a1, a2) * (greatest(a1, a2) + 1) // 2 + least(a1, a2) THEN 0 ELSE (k * 7 + g * 13) % 60 + 1 END AS pl
+                FROM cell JOIN (VALUES (1), (2)) t(a_index) ON a_index <= n_alt JOIN pairs ON hi <= n_alt WHERE a1 >= 0 AND a2 >= 0),
+            least AS (SELECT sid, i, a_index, c, min(pl) AS pl FROM own GROUP BY ALL),
+            three AS (SELECT sid, i, a_index, string_agg(pl, ',' ORDER BY c) AS likelihoods, list(pl ORDER BY pl) AS sorted FROM least GROUP BY ALL),
+            coded AS (SELECT wide.*, vs.n_alt, t.a_index, k, a1 >= 0 AND a2 >= 0 AS called, CASE WHEN vs.n_alt = 1 THEN a1 ELSE CAST(a1 = t.a_index AS INT) END AS x1,
+                CASE WHEN vs.n_alt = 1 THEN a2 ELSE CAST(a2 = t.a_index AS INT) END AS x2
+                FROM wide JOIN vs USING (sid) JOIN (VALUES (1), (2)) t(a_index) ON t.a_index <= vs.n_alt LEFT JOIN (SELECT * EXCLUDE (n_alt) FROM cell) USING (sid, i))
+            SELECT CAST(sid AS VARCHAR) AS sid, CAST(a_index AS BIGINT) AS a_index, 's' || i AS sampleId, CASE WHEN NOT coalesce(called, false) THEN '-1,-1'
+                ELSE x1 || ',' || x2 END AS calls, likelihoods, CASE WHEN n_alt = 2 THEN coalesce(sorted[2] - sorted[1], k % 50) ELSE k % 50 END AS quality
+            FROM coded LEFT JOIN three USING (sid, i, a_index)""",
         "pipe_sites": r"""SELECT concat_ws(chr(9), CHR, POS, coalesce(ID, '.'), otherAllele, effectAllele, '.', '.', INFO, 'seen') AS line FROM si""",
     }
     return {name: _sql(text) for name, text in q.items()}

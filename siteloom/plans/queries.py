@@ -808,32 +808,9 @@ def matrix_roundtrip(spark, sf_dir):
 
 @query
 def src_vcf(spark, sf_dir):
-    """Population text written with its header, then read back as nested rows."""
+    """Population text of all entries with its header, read back as nested rows with every FORMAT field."""
     path = scratch_path(spark, "pvcf")
-    lines = fixtures.entries(spark, sf_dir).selectExpr(
-        "sid",
-        "s % 5 AS slot",
-        "concat(IF(a1 < 0, '.', CAST(a1 AS STRING)), IF(k % 2 = 0, '|', '/'),"
-        " IF(a2 < 0, '.', CAST(a2 AS STRING)), ':', dp) AS cell",
-        "k",
-    )
-    # five sample columns; a column takes the first entry of its slot
-    cells = lines.groupBy("sid").agg(
-        *[
-            F.coalesce(F.min_by(F.when(F.col("slot") == i, F.col("cell")), F.when(F.col("slot") == i, F.col("k"))), F.lit("./."))
-            .alias(f"s{i}")
-            for i in range(5)
-        ]
-    )
-    body = fixtures.sites(spark, sf_dir).join(cells, "sid").selectExpr(
-        r"""concat_ws('\t', contigName, CAST(POS AS STRING), '.', ref, IF(n_alt = 2, concat(alt1, ',', alt2), alt1),
-            '.', 'PASS', concat('SID=', sid), 'GT:DP', s0, s1, s2, s3, s4) AS value"""
-    )
-    header = spark.sql(
-        r"""SELECT concat_ws('\t', '#CHROM', 'POS', 'ID', 'REF', 'ALT', 'QUAL', 'FILTER', 'INFO', 'FORMAT',
-            's0', 's1', 's2', 's3', 's4') AS value"""
-    )
-    header.unionByName(body).write.text(path)
+    fixtures.write_pvcf_text(spark, sf_dir, path)
     rows = vcf.read_pvcf(spark, path)
     return rows.select("contigName", "start", "end", F.col("attributes")["SID"].alias("sid"), F.inline("genotypes")).select(
         "contigName",
@@ -844,6 +821,29 @@ def src_vcf(spark, sf_dir):
         F.array_join("calls", ",").alias("calls"),
         "phased",
         F.col("depth").cast("bigint").alias("depth"),
+        F.col("conditionalQuality").cast("bigint").alias("quality"),
+        F.array_join(F.col("PL").cast("array<string>"), ",").alias("likelihoods"),
+        F.round("AB", 6).alias("balance"),
+        F.col("FT").alias("filter"),
+    )
+
+
+@query
+def fix_multi_pl(spark, sf_dir):
+    """Likelihoods read from text, carried through the projection and down-coded to each split allele."""
+    path = scratch_path(spark, "pvcf")
+    fixtures.write_pvcf_text(spark, sf_dir, path)
+    rows = vcf.read_pvcf(spark, path).withColumn("sid", F.col("attributes")["SID"])
+    called = genotypes.process_genotypes(rows, extra_fields=["PL"])
+    split = multiallelic.correct_multiallelics(multiallelic.split_multiallelics(called, "downcode"), "downcode")
+    cells = split.select("sid", "a_index", F.inline("genotypes")).where("sampleId IS NOT NULL")
+    return cells.select(
+        "sid",
+        F.col("a_index").cast("bigint").alias("a_index"),
+        "sampleId",
+        F.array_join("calls", ",").alias("calls"),
+        F.array_join(F.col("PL").cast("array<string>"), ",").alias("likelihoods"),
+        F.col("conditionalQuality").cast("bigint").alias("quality"),
     )
 
 

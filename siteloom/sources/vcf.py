@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,16 +25,56 @@ def data_lines(lines: DataFrame) -> DataFrame:
     return lines.where(~F.col("value").startswith("#") & (F.length("value") > 0))
 
 
-def sample_names(lines: DataFrame, check_all: bool = True) -> list[str]:
-    """Sample names from the #CHROM line. With ``check_all`` every file's header is read and must agree, so
-    that a genotype's place in the array names the same sample in every row."""
-    headers = lines.where(F.col("value").startswith("#CHROM")).select("value")
-    found = (headers.distinct().limit(2) if check_all else headers.limit(1)).collect()
-    if not found:
+@dataclass(frozen=True)
+class Header:
+    """What the meta lines say: samples in column order, contig lengths, and (number, type) of FORMAT fields."""
+
+    samples: list[str]
+    contigs: dict[str, int] = field(default_factory=dict)
+    formats: dict[str, tuple[str, str]] = field(default_factory=dict)
+
+
+def read_header(lines: DataFrame, check_all: bool = True) -> Header:
+    """One scan for the #CHROM, ##contig and ##FORMAT lines of all files, equal ones counted once.
+
+    With ``check_all`` all files must agree about their sample columns, so that a genotype's place in the array names
+    the same sample in every row. The first of several lengths or types of one name counts, in text order.
+    """
+    wanted = F.col("value").startswith("#CHROM") | F.col("value").startswith("##contig=") | F.col("value").startswith("##FORMAT=")
+    found = sorted(r["value"].rstrip("\r") for r in lines.where(wanted).select("value").distinct().collect())
+    columns = [text for text in found if text.startswith("#CHROM")]
+    if not columns:
         raise ValueError("no #CHROM header line found")
-    if len(found) > 1:
+    if check_all and len(set(columns)) > 1:
         raise ValueError("files disagree about their sample columns")
-    return found[0]["value"].rstrip("\r").split("\t")[FIRST_SAMPLE:]
+    contigs, formats = {}, {}
+    for text in found:
+        name, length = re.search(r"[<,]ID=([^,>]+)", text), re.search(r"[<,]length=(\d+)", text)
+        number, kind = re.search(r"[<,]Number=([^,>]+)", text), re.search(r"[<,]Type=([^,>]+)", text)
+        if text.startswith("##contig=") and name and length:
+            contigs.setdefault(name[1], int(length[1]))
+        elif text.startswith("##FORMAT=") and name and number and kind:
+            formats.setdefault(name[1], (number[1], kind[1]))
+    return Header(columns[0].split("\t")[FIRST_SAMPLE:], contigs, formats)
+
+
+def sample_names(lines: DataFrame, check_all: bool = True) -> list[str]:
+    """Sample names from the #CHROM line: see ``read_header``."""
+    return read_header(lines, check_all).samples
+
+
+# FORMAT fields that a genotype holds under a name of its own, and the declared types.
+CORE_FORMAT = ("GT", "DP", "GQ", "AD")
+SQL_TYPES = {"Integer": "int", "Float": "double"}
+
+
+def _typed(text: Column, number: str, kind: str) -> Column:
+    """One FORMAT value as declared: a scalar for Number=1, else an array; "." and unreadable values are NULL."""
+
+    def one(value: Column) -> Column:
+        return value.try_cast(SQL_TYPES[kind]) if kind in SQL_TYPES else F.nullif(value, F.lit("."))
+
+    return one(text) if number == "1" else F.when(text != ".", F.transform(F.split(text, ","), one))
 
 
 def _integer(text: Column) -> Column:
@@ -60,23 +103,25 @@ def parse_sites(lines: DataFrame) -> DataFrame:
     return data_lines(lines).select(*columns)
 
 
-def parse_pvcf(lines: DataFrame, samples: list[str]) -> DataFrame:
+def parse_pvcf(lines: DataFrame, samples: list[str], formats: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """Data lines -> population site rows. INFO stays unflattened as the ``attributes`` map.
 
     FORMAT keys are looked up per line, so their order may vary; an absent or "." value, also inside an
-    allele-depth list, is NULL and a missing allele is -1.
+    allele-depth list, is NULL and a missing allele is -1. Each field of ``formats`` (name -> declared number and
+    type, see ``read_header``) beside GT, DP, GQ and AD becomes a field of that name in the genotype.
     """
+    extra = {k: v for k, v in (formats or {}).items() if k not in CORE_FORMAT}
     fields = (
         data_lines(lines)
         .withColumn("_f", F.split("value", "\t"))
         .withColumn("_format", F.split(F.get("_f", F.lit(8)), ":"))
     )
     names = F.split(F.lit("\t".join(samples)), "\t")
-    place = {k: (F.array_position("_format", k) - 1).cast("int").alias(f"_{k}") for k in ("GT", "DP", "GQ", "AD")}
+    place = {k: (F.array_position("_format", k) - 1).cast("int").alias(f"_at_{k}") for k in (*CORE_FORMAT, *extra)}
     staged = fields.select("*", *place.values())
 
     def value(parts: Column, key: str) -> Column:
-        return F.get(parts, F.col(f"_{key}"))
+        return F.get(parts, F.col(f"`_at_{key}`"))
 
     def genotype(pair: Column) -> Column:
         parts = pair["v"]
@@ -89,6 +134,7 @@ def parse_pvcf(lines: DataFrame, samples: list[str]) -> DataFrame:
             _integer(value(parts, "DP")).alias("depth"),
             _integer(value(parts, "GQ")).alias("conditionalQuality"),
             F.transform(F.split(value(parts, "AD"), ","), _integer).alias("alleleDepths"),
+            *[_typed(value(parts, k), *declared).alias(k) for k, declared in extra.items()],
         )
 
     texts = F.slice("_f", FIRST_SAMPLE + 1, max(len(samples), 1))
@@ -110,28 +156,23 @@ def parse_pvcf(lines: DataFrame, samples: list[str]) -> DataFrame:
 
 
 def read_pvcf(spark: SparkSession, path: str, check_headers: bool = True, partitions: int | None = None) -> DataFrame:
-    """Population variant text under ``path`` -> site rows with nested genotypes; ``partitions`` for gzip input."""
+    """Population variant text under ``path`` -> site rows with nested genotypes; ``partitions`` for gzip input.
+
+    All FORMAT fields that the header declares are kept, typed as declared.
+    """
     lines = read_lines(spark, path)
-    samples = sample_names(lines, check_headers)
-    return parse_pvcf(lines.repartition(partitions) if partitions else lines, samples)
+    header = read_header(lines, check_headers)
+    return parse_pvcf(lines.repartition(partitions) if partitions else lines, header.samples, header.formats)
 
 
 # Fixed value: names of the assembly's alternate, decoy, unplaced and patch contigs.
 EXTRA_CONTIG = r"^(chr[0-9A-Za-z]+_[A-Z]{2,6}[0-9]+v[0-9]+(_random|_alt|_decoy|_fix)?|chrEBV|HLA-.+)$"
 
 
-def contig_lengths(lines: DataFrame) -> dict[str, int]:
-    """Lengths by name from the ``##contig`` lines of variant text: one entry a contig of the assembly."""
-    name = F.regexp_extract("value", r"[<,]ID=([^,>]+)", 1)
-    length = F.regexp_extract("value", r"[<,]length=(\d+)", 1).try_cast("bigint")
-    found = lines.where(F.col("value").startswith("##contig=")).select(name.alias("name"), length.alias("length"))
-    return {r["name"]: r["length"] for r in found.where("name <> '' AND length IS NOT NULL").distinct().collect()}
-
-
 def valid_loci(df: DataFrame, lengths: dict[str, int] | None = None) -> DataFrame:
     """Recode bare contig labels to chr-prefixed ones; keep positions that exist in the assembly.
 
-    ``lengths`` adds contigs (as ``contig_lengths`` reads them). An alternate, decoy or unplaced contig of the
+    ``lengths`` adds contigs (as ``read_header`` reads them). An alternate, decoy or unplaced contig of the
     assembly whose length isn't given is known by its name, and any position from 0 on is kept.
     """
     recoded = df.withColumn("contigName", alleles.add_contig_prefix(F.col("contigName")))
@@ -148,10 +189,9 @@ def import_vcf(
     Contigs that the text's own header declares are known too, unless ``lengths`` is given.
     """
     lines = read_lines(spark, path)
-    samples = sample_names(lines)
-    if lengths is None:
-        lengths = contig_lengths(lines)
-    return valid_loci(parse_pvcf(lines.repartition(partitions) if partitions else lines, samples), lengths)
+    header = read_header(lines)
+    rows = parse_pvcf(lines.repartition(partitions) if partitions else lines, header.samples, header.formats)
+    return valid_loci(rows, header.contigs if lengths is None else lengths)
 
 
 def read_sites(spark: SparkSession, path: str) -> DataFrame:

@@ -199,3 +199,33 @@ def test_filtering_runs_the_statistics_once(spark):
     """The site filters must not push copies of the genotype expressions below the statistics."""
     df = site_qc.filter_sites(genotypes.variant_qc(site(spark, [[0, 1], [0, 0]])))
     assert len(df._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+
+
+def test_likelihoods_follow_the_split_allele(spark):
+    from siteloom.operators import multiallelic
+    from siteloom.sources import vcf
+
+    meta = ['##FORMAT=<ID=PL,Number=G,Type=Integer>', '##FORMAT=<ID=AB,Number=1,Type=Float>', '##FORMAT=<ID=FT,Number=.,Type=String>', "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tp\tq\tr\ts"]
+    rows = [
+        "chr1\t5\t.\tA\tC,G\t.\t.\t.\tGT:PL:GQ:AB:FT\t1/2:9,8,7,6,0,5:40:0.5:a,b\t0/0:0,3,.,7,2,1:40:x:.\t./.:.:12\t1:4,0,9:33",
+        "chr1\t9\t.\tA\tC\t.\t.\t.\tPL:GT\t0,4,9:0/0\t.:./.\t1,2:0/1\t5,0,5:0|1",
+    ]
+    lines = spark.createDataFrame([(t,) for t in meta + rows], "value string")
+    header = vcf.read_header(lines)
+    assert header.formats == {"PL": ("G", "Integer"), "AB": ("1", "Float"), "FT": (".", "String")} and header.samples == list("pqrs")
+    site = vcf.parse_pvcf(lines, header.samples, header.formats)
+    first = site.where("start = 4").first().genotypes
+    assert [(g.PL, g.AB, g.FT) for g in first] == [([9, 8, 7, 6, 0, 5], 0.5, ["a", "b"]), ([0, 3, None, 7, 2, 1], None, None), (None, None, None), ([4, 0, 9], None, None)]
+    kept = genotypes.project_genotypes(site, extra_fields=["PL"])
+
+    def split(mode):
+        made = multiallelic.split_multiallelics(kept, mode).orderBy("start", "a_index").collect()
+        return [[(g.PL, g.conditionalQuality) for g in r.genotypes] for r in made]
+
+    # genotypes in order 00 01 11 02 12 22; for the first alternate 01 and 12 hold it once, 11 twice
+    assert split("downcode") == [
+        [([5, 0, 7], 5), ([0, 2, None], 2), (None, 12), ([4, 0, 9], 4)],
+        [([7, 0, 5], 5), ([0, 2, 1], 1), (None, 12), ([4, 0, 9], 4)],
+        [([0, 4, 9], None), (None, None), ([1, 2], None), ([5, 0, 5], None)],
+    ]
+    assert split("masked")[:2] == [[([9, 8, 7], 40), ([0, 3, None], 40), (None, 12), ([4, 0, 9], 33)], [([9, 6, 5], 40), ([0, 7, 1], 40), (None, 12), ([4, 0, 9], 33)]]

@@ -54,7 +54,7 @@ def test_all_contigs_of_the_assembly_are_kept(spark):
     kept = [(r.contigName, r.start) for r in vcf.valid_loci(rows, {"own": 10}).collect()]
     assert kept == [("chrM", 5), ("chrM", 16568), ("chr1_KI270706v1_random", 7), ("chrUn_KI270302v1", 3), ("HLA-A*01:01", 1), ("own", 9), ("chr22", 50818467)]
     lines = spark.createDataFrame([("##contig=<ID=own,length=10>",), ("##contig=<assembly=x,length=7,ID=b>",), ("##contig=<ID=none>",), ("#CHROM",)], "value string")
-    assert vcf.contig_lengths(lines) == {"own": 10, "b": 7}
+    assert vcf.read_header(lines).contigs == {"own": 10, "b": 7}
 
 
 def test_sex_contigs_by_either_label(spark):
