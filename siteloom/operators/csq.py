@@ -263,6 +263,9 @@ def annotate(
 
 
 def join_back(pvcf: DataFrame, annotations: DataFrame, how: str = "left") -> DataFrame:
-    """Bring site annotations back to the full population rows by uid."""
+    """Bring site annotations back to the full population rows by uid.
+
+    Population rows that were stored by uid (``sources.bucketed``) stay where they are; only annotations move.
+    """
     shared = [c for c in annotations.columns if c in pvcf.columns and c != "uid"]
     return pvcf.join(annotations.drop(*shared), "uid", how)

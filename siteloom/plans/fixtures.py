@@ -187,15 +187,11 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Site-only rows (first alternate): uid, CHR, POS, REF, ALT."""
-    return sites(spark, sf_dir).selectExpr(
-        "sid",
-        "concat_ws(':', substr(contigName, 4), CAST(POS AS STRING), ref, alt1) AS uid",
-        "substr(contigName, 4) AS CHR",
-        "POS",
-        "ref AS REF",
-        "alt1 AS ALT",
+    """Site-only rows, one for each alternate: sid, uid, CHR, POS, REF, ALT."""
+    alternates = sites(spark, sf_dir).selectExpr(
+        "sid", "substr(contigName, 4) AS CHR", "POS", "ref AS REF", "explode(IF(n_alt = 2, array(alt1, alt2), array(alt1))) AS ALT"
     )
+    return alternates.selectExpr("sid", "concat_ws(':', CHR, CAST(POS AS STRING), REF, ALT) AS uid", "CHR", "POS", "REF", "ALT")
 
 
 def csq_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,10 +234,12 @@ def annotated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transcript dimension with the raw source column names (Start, End)."""
+    """Transcript dimension with the raw source column names (Start, End): three for each gene that a site lies in."""
     return (
-        spark.range(720)
-        .selectExpr("id AS tx", "id div 3 AS gene")
+        table(spark, sf_dir, "part")
+        .selectExpr("(p_partkey % 24) * 10 + (p_partkey div 24) % 10 AS gene")
+        .distinct()
+        .selectExpr("gene", "explode(sequence(gene * 3, gene * 3 + 2)) AS tx")
         .where("tx % 5 <> 0")
         .selectExpr(
             "concat('ENST', tx) AS Transcript",

@@ -52,8 +52,8 @@ _CTES: dict[str, str] = {
             CASE WHEN p_size % 10 = 0 THEN 2 ELSE 1 END AS n_alt, {_letter('p_partkey')} AS ref,
             {_letter('p_partkey + 1')} || CASE WHEN p_size % 7 = 0 THEN 'TT' ELSE '' END AS alt1,
             {_letter('p_partkey + 2')} AS alt2 FROM part""",
-    "vv": """SELECT sid, substr(contigName, 4) AS CHR, POS, ref AS REF, alt1 AS ALT,
-            concat_ws(':', substr(contigName, 4), POS, ref, alt1) AS uid FROM vs""",
+    "vv": """SELECT sid, substr(contigName, 4) AS CHR, POS, ref AS REF, alt AS ALT, concat_ws(':', substr(contigName, 4), POS, ref, alt) AS uid
+            FROM (SELECT *, alt1 AS alt FROM vs UNION ALL SELECT *, alt2 FROM vs WHERE n_alt = 2)""",
     "vg": """SELECT l_partkey AS sid, l_suppkey AS s, min(l_orderkey * 10 + l_linenumber) AS k,
             CAST(min(l_quantity) AS BIGINT) AS dp FROM lineitem GROUP BY 1, 2""",
     "va": """SELECT g.*, v.n_alt,
@@ -190,7 +190,7 @@ _CTES |= {
         '', '', '', '', '', '', '', '', canonical, mane), ',' ORDER BY j) AS csqs FROM cr GROUP BY ALL""",
     "vt": """SELECT 'ENST' || tx AS transcript, CASE WHEN tx % 2 = 0 THEN '+' ELSE '-' END AS strand,
         (tx // 3 % 10) * 100000 + 200000 AS cdsStart, (tx // 3 % 10) * 100000 + 1000000 AS cdsEnd,
-        300 + (tx // 3) * 3 AS cdsLength FROM range(720) r(tx) WHERE tx % 5 <> 0""",
+        300 + (tx // 3) * 3 AS cdsLength FROM (SELECT DISTINCT ((p_partkey % 24) * 10 + (p_partkey // 24) % 10) * 3 + j AS tx FROM part, range(3) r(j)) WHERE tx % 5 <> 0""",
     "vn": """SELECT uid, 'rs' || sid AS rsid, CASE WHEN sid % 11 = 0 THEN ALT ELSE REF END AS ancestralAllele,
         CAST(sid % 7 AS VARCHAR) AS delMissenseCount, 'D;T' AS missensePredictions,
         CASE WHEN sid % 5 = 0 THEN '.' ELSE '0.' || lpad(CAST(sid % 100 AS VARCHAR), 2, '0') END AS revel
@@ -568,4 +568,6 @@ def statements() -> dict[str, str]:
             FROM coded LEFT JOIN three USING (sid, i, a_index)""",
         "pipe_sites": r"""SELECT concat_ws(chr(9), CHR, POS, coalesce(ID, '.'), otherAllele, effectAllele, '.', '.', INFO, 'seen') AS line FROM si""",
     }
+    # the same results from tables laid out beforehand
+    q |= {"annotate_stored": q["annotate_full"], "annot_joinback_stored": q["annot_joinback"]}
     return {name: _sql(text) for name, text in q.items()}

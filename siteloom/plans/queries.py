@@ -23,13 +23,14 @@ from siteloom.operators import (
 )
 from siteloom.plans import fixtures, pipelines
 from siteloom.session import scratch_path
-from siteloom.sources import annotation, matrix, vcf
+from siteloom.sources import annotation, bucketed, matrix, vcf
 from siteloom.sources import sumstats as sumstats_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
 OLD_BUILD_STUDY, NEW_BUILD_STUDY = "NATION_0.tsv", "NATION_3.tsv"
+BUCKETS = 16  # of the tables that the queries store; a cluster's tables take as many as keep one near 256 MB
 LINKED_R2 = 0.2  # the sparse fixture has few pairs at the default threshold
 
 
@@ -511,15 +512,20 @@ def canonical_effect(spark, sf_dir):
     return rows.select("uid", "EnsemblGeneId", *_effect_columns("canonicalEffect"))
 
 
-def _annotated(spark, sf_dir):
+def _annotated(spark, sf_dir, missense=None):
     text = fixtures.annotated_text(spark, sf_dir)
-    return pipelines.annotation_table(text, _missense(spark, sf_dir), _transcripts(spark, sf_dir))
+    missense = _missense(spark, sf_dir) if missense is None else missense
+    return pipelines.annotation_table(text, missense, _transcripts(spark, sf_dir))
 
 
 @query
 def annotate_full(spark, sf_dir):
+    return _flat_annotation(_annotated(spark, sf_dir))
+
+
+def _flat_annotation(annotated):
     worst, canonical = F.col("mostDeleteriousEffect"), F.col("canonicalEffect")
-    return _annotated(spark, sf_dir).select(
+    return annotated.select(
         "uid",
         "EnsemblGeneId",
         "rsid",
@@ -534,11 +540,37 @@ def annotate_full(spark, sf_dir):
     )
 
 
+def _own_table(spark, label):
+    """A new table name and folder for a bucketed table of one run."""
+    path = scratch_path(spark, label)
+    return path.rsplit("/", 1)[-1].replace("-", "_"), path
+
+
+@query
+def annotate_stored(spark, sf_dir):
+    """Annotation against a missense table that was laid out by its keys beforehand: it is not shuffled again."""
+    stored = annotation.store_missense(_missense(spark, sf_dir), *_own_table(spark, "missense"), BUCKETS)
+    return _flat_annotation(_annotated(spark, sf_dir, stored))
+
+
+@query
+def annot_joinback_stored(spark, sf_dir):
+    """Annotations brought back to population rows that were stored by uid: the genotypes are not shuffled again."""
+    annotated = _annotated(spark, sf_dir).select("uid", "EnsemblGeneId", "mostDeleteriousEffect")
+    split = fixtures.pvcf(spark, sf_dir).transform(sites.strip_contig).transform(multiallelic.split_multiallelics)
+    stored = bucketed.write_bucketed(split.transform(sites.site_to_uid), *_own_table(spark, "population"), ["uid"], BUCKETS)
+    return _joined_back(stored, annotated)
+
+
 @query
 def annot_joinback(spark, sf_dir):
     annotated = _annotated(spark, sf_dir).select("uid", "EnsemblGeneId", "mostDeleteriousEffect")
-    rows = fixtures.pvcf(spark, sf_dir).transform(sites.strip_contig).transform(sites.site_to_uid)
-    return csq.join_back(rows, annotated).select(
+    split = fixtures.pvcf(spark, sf_dir).transform(sites.strip_contig).transform(multiallelic.split_multiallelics)
+    return _joined_back(split.transform(sites.site_to_uid), annotated)
+
+
+def _joined_back(split, annotated):
+    return csq.join_back(split, annotated).select(
         "sid",
         "uid",
         F.size("genotypes").cast("bigint").alias("n_genotypes"),

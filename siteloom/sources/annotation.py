@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siteloom.functions import alleles
-from siteloom.operators.csq import prepare_missense, prepare_transcripts
+from siteloom.operators.csq import MISSENSE_KEYS, prepare_missense, prepare_transcripts
+from siteloom.sources.bucketed import write_bucketed
 from siteloom.sources.vcf import SITES_HEADER, body_lines
 
 
@@ -57,6 +58,11 @@ def load_missense(spark: SparkSession, path: str) -> DataFrame:
     return prepare_missense(spark.read.parquet(path))
 
 
+def store_missense(missense: DataFrame, name: str, path: str, buckets: int) -> DataFrame:
+    """Lay the prepared missense table out by the keys that annotation joins it on; ``annotate`` then leaves it in place."""
+    return write_bucketed(missense, name, path, MISSENSE_KEYS, buckets)
+
+
 def load_transcripts(spark: SparkSession, path: str) -> DataFrame:
     return prepare_transcripts(spark.read.parquet(path))
 

@@ -91,3 +91,43 @@ def test_no_local_checkpoint_or_python_udf():
     for path in (ROOT / "siteloom").rglob("*.py"):
         text = path.read_text()
         assert "localCheckpoint" not in text and "udf(" not in text, path
+
+
+def _above_scan(plan, mark):
+    """The operators between the scan that reads ``mark`` and the next join, from the printed tree."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and mark in line)
+    above, depth = [], len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    for line in reversed(lines[:at]):
+        indent = len(line) - len(line.lstrip(" :+-"))
+        if indent < depth:
+            depth = indent
+            if "Join" in line:
+                return above
+            above.append(line.strip(" :+-"))
+    return above
+
+
+def test_stored_tables_are_joined_in_place(spark, sf_dir):
+    from siteloom.plans import queries
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as large tables are
+    for name, mark in (("annotate_stored", "missensePredictions"), ("annot_joinback_stored", "genotypes")):
+        made = contract.queries()[name](spark, sf_dir)
+        above = _above_scan(physical(made), mark)
+        assert above and not any("Exchange" in line for line in above), above
+        plain = name.removesuffix("_stored").replace("annotate", "annotate_full")
+        assert sorted(map(str, made.collect())) == sorted(map(str, queries.registry()[plain](spark, sf_dir).collect()))
+
+
+def test_bucketed_tables_open_in_another_catalog(spark):
+    from siteloom.sources import bucketed
+
+    rows = spark.createDataFrame([(i % 7 if i % 5 else None, str(i)) for i in range(100)], "k bigint, v string")
+    path = scratch_path(spark, "bucketed")
+    bucketed.write_bucketed(rows, "own_rows", path, ["k"], 4)
+    spark.sql("DROP TABLE own_rows")
+    back = bucketed.open_bucketed(spark, "own_rows", path, ["k"], 4)
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+    assert "Exchange" not in physical(back.groupBy("k").count())
+    spark.sql("DROP TABLE own_rows")
