@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from siteloom.functions import calls
 from siteloom.functions.once import compute_once
 from siteloom.operators.intervals import pairs_within
-from siteloom.session import checkpoint
+from siteloom.session import checkpoint, stored
 
 # Pruning threshold and window (base pairs).
 MAX_R2 = 0.6
@@ -86,7 +86,8 @@ def ld_r2(df: DataFrame, key: str, window: int = WINDOW, sample_index=None, min_
     them for any cohort below 300 million samples. Pairs without a shared called sample, or with a constant site,
     have no correlation and give no row. A row with several alternate alleles is an error: split first.
     """
-    packed = pack_words(df, key, sample_index).where(F.col("d") > 0)
+    # the fold of all genotypes is the dearest step and the pairing needs it three times, so it is written once
+    packed = stored(pack_words(df, key, sample_index).where(F.col("d") > 0), "ld-packed")
     joined = pairs_within(packed, contig="contigName", pos="start", key=key, window=window, crowd=512)
     zero = F.struct(*[F.lit(0).cast("bigint").alias(name) for name in ("n", "xy", "x", "y")])
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siteloom.functions import alleles
@@ -40,6 +42,26 @@ def filter_sites(df: DataFrame, **thresholds) -> DataFrame:
     return kept
 
 
+def filter_sites_observed(df: DataFrame, **thresholds) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``filter_sites``, and a function that gives the funnel once the rows were written or otherwise used in full.
+
+    The counts are taken by the filters themselves as the rows pass, so they cost no scan of their own. A second action
+    on the same rows doesn't change them; before the first one the function waits. As with all metrics observed in
+    passing, a task that is run again after a lost executor may count its rows twice; ``qc_funnel`` never does.
+    """
+    steps = {"all": None} | site_filters(**thresholds)
+    seen, kept = [Observation(f"qc-{i}") for i in range(len(steps))], df
+    for watch, condition in zip(seen, steps.values()):
+        kept = kept if condition is None else kept.filter(condition)
+        kept = kept.observe(watch, F.count(F.lit(1)).alias("n"))
+
+    def counted() -> DataFrame:
+        rows = [(i, name, watch.get["n"]) for i, (name, watch) in enumerate(zip(steps, seen))]
+        return df.sparkSession.createDataFrame(rows, "step_no int, step string, n_rows bigint")
+
+    return kept, counted
+
+
 def qc_funnel(df: DataFrame, **thresholds) -> DataFrame:
     """Sites left after each filter in turn, all counted in one pass: (step_no, step, n_rows)."""
     return funnel(df, site_filters(**thresholds))

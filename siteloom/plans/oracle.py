@@ -569,5 +569,5 @@ def statements() -> dict[str, str]:
         "pipe_sites": r"""SELECT concat_ws(chr(9), CHR, POS, coalesce(ID, '.'), otherAllele, effectAllele, '.', '.', INFO, 'seen') AS line FROM si""",
     }
     # the same results from tables laid out beforehand
-    q |= {"annotate_stored": q["annotate_full"], "annot_joinback_stored": q["annot_joinback"]}
+    q |= {"annotate_stored": q["annotate_full"], "annot_joinback_stored": q["annot_joinback"], "qc_funnel_written": q["qc_funnel"]}
     return {name: _sql(text) for name, text in q.items()}

@@ -71,6 +71,12 @@ def matrix_qc(pvcf: DataFrame, mode: str = "downcode", **thresholds) -> DataFram
     )
 
 
+def matrix_qc_observed(pvcf: DataFrame, mode: str = "downcode", **thresholds):
+    """``matrix_qc`` and its funnel, counted by the one action on the rows: see ``filter_sites_observed``."""
+    counted = split_for_qc(pvcf, mode).transform(genotypes.variant_qc)
+    return site_qc.filter_sites_observed(counted, **thresholds)
+
+
 def split_for_qc(pvcf: DataFrame, mode: str = "downcode") -> DataFrame:
     """One row per alternate allele, the other alternates counted as reference."""
     called = pvcf.transform(genotypes.mark_called)

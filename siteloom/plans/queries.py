@@ -272,6 +272,14 @@ def qc_funnel(spark, sf_dir):
     return site_qc.qc_funnel(_for_qc(spark, sf_dir)).withColumn("step_no", F.col("step_no").cast("bigint"))
 
 
+@query
+def qc_funnel_written(spark, sf_dir):
+    """The funnel that comes with writing the filtered rows, without a scan of its own."""
+    kept, counted = site_qc.filter_sites_observed(_for_qc(spark, sf_dir))
+    kept.write.parquet(scratch_path(spark, "qc-rows"))
+    return counted().withColumn("step_no", F.col("step_no").cast("bigint"))
+
+
 @query
 def p_hist(spark, sf_dir):
     counts = site_qc.log10_p_histogram(_for_qc(spark, sf_dir), low=-4.0, bins=8)

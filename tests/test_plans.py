@@ -131,3 +131,25 @@ def test_bucketed_tables_open_in_another_catalog(spark):
     assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
     assert "Exchange" not in physical(back.groupBy("k").count())
     spark.sql("DROP TABLE own_rows")
+
+
+def test_funnel_comes_with_the_write(spark, sf_dir):
+    from siteloom.plans import fixtures, pipelines
+
+    def jobs(label, work):
+        spark.sparkContext.setJobGroup(label, label)
+        made = work()
+        spark.sparkContext.setJobGroup("rest", "rest")
+        return made, len(spark.sparkContext.statusTracker().getJobIdsForGroup(label))
+
+    rows = fixtures.pvcf(spark, sf_dir)
+    plain, once = jobs("plain", lambda: pipelines.matrix_qc(rows).write.parquet(scratch_path(spark, "plain")))
+    kept, counted = pipelines.matrix_qc_observed(rows)
+    _, own = jobs("observed", lambda: kept.write.parquet(scratch_path(spark, "observed")))
+    funnel, extra = jobs("funnel", lambda: [r.n_rows for r in counted().collect()])
+    assert own == once and funnel[-1] == pipelines.matrix_qc(rows).count() and funnel == sorted(funnel, reverse=True)
+
+
+def test_genotypes_are_packed_once(spark, sf_dir):
+    plan = physical(contract.queries()["ld_r2"](spark, sf_dir))
+    assert "lineitem" not in plan and "aggregate(genotypes" not in plan and "ld-packed" in plan
