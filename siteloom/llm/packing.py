@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteloom.llm.bpe import MergedEncoder
+from siteloom.llm.bpe import MEMO_BYTES, MergedEncoder
 from siteloom.llm.shared import held, map_texts, written
 
 WINDOW = 4096
@@ -65,16 +65,16 @@ def sum_of_squares(sizes: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray,
     return numbers, offsets
 
 
-def pieces(df: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", window: int = WINDOW, end_id: int = END_ID, full: bool = True) -> DataFrame:
+def pieces(df: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", window: int = WINDOW, end_id: int = END_ID, full: bool = True, memo: int = MEMO_BYTES) -> DataFrame:
     """The token ids of every whole text and ``end_id``, cut at multiples of ``window``.
 
     Gives key, start, length, ids_crc32, doc_tokens, and unless ``full=False`` the ``ids`` as little-endian unsigned
     32-bit integers (``id_lists`` makes arrays of them). A null or empty text is the one id ``end_id``. Repeated rows
-    stay repeated.
+    stay repeated. ``memo`` bounds, in bytes, each of the two generations of words that a worker remembers.
     """
 
     def rows(texts: list[str]) -> dict[str, pa.Array]:
-        coder = held(("merged", path), lambda: MergedEncoder(path))
+        coder = held(("merged", path, memo), lambda: MergedEncoder(path, memo))
         tail = end_id.to_bytes(4, "little")
         parts = []
         for made in coder.encode(texts):
@@ -120,9 +120,9 @@ def pack(cut: DataFrame, *, key: str = "doc_id", window: int = WINDOW) -> DataFr
     return dealt.groupBy("_group").applyInPandas(one, f"{schema}, sequence_id bigint, offset bigint")
 
 
-def pack_documents(df: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", window: int = WINDOW, end_id: int = END_ID, full: bool = True) -> DataFrame:
+def pack_documents(df: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", window: int = WINDOW, end_id: int = END_ID, full: bool = True, memo: int = MEMO_BYTES) -> DataFrame:
     """Tokenise, cut and pack all rows of ``df``: see ``pieces`` and ``pack``. Only ``key`` and ``text`` are read."""
-    made = pieces(df, path, key=key, text=text, window=window, end_id=end_id, full=full)
+    made = pieces(df, path, key=key, text=text, window=window, end_id=end_id, full=full, memo=memo)
     cut = written(made.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
     placed = pack(cut.drop("ids"), key=key, window=window)
     if full:  # the ids meet their places by a join, so no group holds them in memory
