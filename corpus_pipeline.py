@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from siteloom.llm import bpe, neardup, packing, quality, toxicity
-from siteloom.llm.shared import table, written
+from siteloom.llm.shared import MEMO_BYTES, table, written
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -32,8 +32,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their sequence and offset."""
-    made = packing.pack_documents(docs, bpe.vocabulary(VOCABULARY))
+    """Pieces of all documents with their sequence and offset.
+
+    The words a worker remembers take half the usual memory: workers that served the stages before hold more of it.
+    """
+    made = packing.pack_documents(docs, bpe.vocabulary(VOCABULARY), memo=MEMO_BYTES)
     return packing.digested(made, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
 
