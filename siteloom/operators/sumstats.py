@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from siteloom.functions import alleles
@@ -64,23 +64,21 @@ class Study:
         return cls(values["study"], values["phenotype"], values.get("build"), columns, counts)
 
 
+def canonical_value(column: Column, name: str, kind: str = "string") -> Column:
+    """A source column of Spark type ``kind`` as canonical column ``name``: missing markers -> NULL, numbers cast."""
+    missing = F.coalesce(column.try_cast("double").isin(*MISSING_NUMBERS), F.lit(False))
+    if kind == "string":
+        missing = missing | column.isin(*MISSING_TEXTS)
+    target = "string" if name in TEXT_COLUMNS else "double"
+    typed = column if kind == target else column.cast(target)
+    return F.when(~missing, typed.cast("bigint") if name == "POS" else typed).alias(name)
+
+
 def rename_columns(df: DataFrame, study: Study) -> DataFrame:
     """Source columns -> canonical ones, missing markers -> NULL, numbers cast, study constants added."""
-
     types = dict(df.dtypes)
-
-    def value(source: str, name: str):
-        column = F.col(f"`{source}`")
-        number = column.try_cast("double")
-        missing = F.coalesce(number.isin(*MISSING_NUMBERS), F.lit(False))
-        if types[source] == "string":
-            missing = missing | column.isin(*MISSING_TEXTS)
-        target = "string" if name in TEXT_COLUMNS else "double"
-        typed = column if types[source] == target else column.cast(target)
-        return F.when(~missing, typed.cast("bigint") if name == "POS" else typed).alias(name)
-
     return df.select(
-        *[value(source, name) for name, source in study.columns.items()],
+        *[canonical_value(F.col(f"`{source}`"), name, types[source]) for name, source in study.columns.items()],
         *[F.lit(study.counts[c]).cast("bigint").alias(c) for c in STUDY_COUNTS],
         F.lit(study.study).alias("study"),
         F.lit(study.phenotype).alias("phenotype"),
@@ -127,12 +125,49 @@ def summary_funnel(df: DataFrame, study: Study, filter_cases_af: bool = False) -
     return funnel(canonical_rows(df, study), qc_filters(study.columns, filter_cases_af))
 
 
+def canonical_studies(df: DataFrame) -> DataFrame:
+    """Rows of many studies (``sources.sumstats.read_studies``) -> canonical rows, before any filter.
+
+    Columns that a row's study does not map are NULL and not in its ``mapped_columns``.
+    """
+    others = [c for c in df.columns if c not in MAPPED]
+    renamed = df.select(*others, *[canonical_value(F.col(c), c) for c in MAPPED]).transform(upper_alleles)
+    return compute_once(renamed, {c: F.col(c) for c in MAPPED})
+
+
+def studies_filters(filter_cases_af: bool = False) -> dict:
+    """The row filters by name; each passes the rows of studies that lack its column."""
+    source = {"case_count": "cases_AF"}
+    unmapped = {c: ~F.array_contains("mapped_columns", c) for c in ("effect_AF", "cases_AF", "infoScore")}
+    filters = qc_filters(MAPPED, filter_cases_af)
+    return {n: unmapped.get(source.get(n, n), F.lit(False)) | condition for n, condition in filters.items()}
+
+
+def qc_studies(df: DataFrame, filter_cases_af: bool = False) -> DataFrame:
+    """Rows of many studies -> clean canonical rows: one plan, whatever the number of studies."""
+    kept = canonical_studies(df)
+    for condition in studies_filters(filter_cases_af).values():
+        kept = kept.filter(condition)
+    return kept
+
+
+def studies_funnel(df: DataFrame, filter_cases_af: bool = False) -> DataFrame:
+    """(phenotype_file, step_no, step, n_rows) of all studies in one pass; steps that a study lacks keep its count."""
+    return funnel(canonical_studies(df), studies_filters(filter_cases_af), by=("phenotype_file",))
+
+
 def info_text(df: DataFrame) -> DataFrame:
-    """``INFO``: k=v over the present columns in fixed order; a NULL prints "."."""
-    tokens = [
-        F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit("."))) for k in INFO_KEYS if k in df.columns
-    ]
-    return df.withColumn("INFO", F.concat_ws(";", *tokens))
+    """``INFO``: k=v over the present columns in fixed order; a NULL prints ".".
+
+    In rows of many studies, columns that the row's study does not map are left out.
+    """
+    of_many = "mapped_columns" in df.columns
+
+    def token(key: str) -> Column:
+        text = F.concat(F.lit(f"{key}="), F.coalesce(F.col(key).cast("string"), F.lit(".")))
+        return F.when(F.array_contains("mapped_columns", key), text) if of_many and key in MAPPED else text
+
+    return df.withColumn("INFO", F.concat_ws(";", *[token(k) for k in INFO_KEYS if k in df.columns]))
 
 
 def to_vcf_rows(df: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siteloom.session import small_side
+
 # The fixture's reference sequence repeats with this period on every contig.
 REFERENCE_PERIOD = 52
 CHUNK = 10_000
@@ -329,6 +331,21 @@ def sumstats_raw(spark: SparkSession, sf_dir: str, build: str = "hg19") -> DataF
     )
 
 
+def write_studies_text(spark: SparkSession, sf_dir: str, path: str) -> list[str]:
+    """The results dealt by customer to the nations' studies, one folder of text each; three layouts in turn."""
+    own = table(spark, sf_dir, "nation").selectExpr("concat(n_name, '.tsv') AS phenotype_file", "n_nationkey AS nation")
+    rows = sumstats_raw(spark, sf_dir).withColumn("nation", F.expr("CAST(round(`AF.Allele2` * 1000) AS INT) % 25"))
+    dealt = rows.join(small_side(own), "nation")
+    columns = [c for c in rows.columns if c != "nation"]
+    few = [c for c in columns if not c.startswith("AF.") and c != "imputationInfo"]
+    layouts = [columns, ["extra", *few[::-1]], ["extra", *columns[:-2]]]
+    for i, layout in enumerate(layouts):
+        part = dealt.where(F.col("nation") % 3 == i).withColumn("extra", F.lit("unused"))
+        part.select("phenotype_file", *[f"`{c}`" for c in layout]).write.partitionBy("phenotype_file").csv(f"{path}/{i}", sep="\t", header=True)
+    names = dealt.groupBy("nation", "phenotype_file").count().collect()
+    return [f"{path}/{r.nation % 3}/phenotype_file={r.phenotype_file}" for r in names]
+
+
 def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build-to-build alignment blocks (0-based half-open)."""
     key = "s_suppkey % 24"

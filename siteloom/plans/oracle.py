@@ -293,6 +293,14 @@ _CTES |= {
         UNION ALL SELECT k, CHR, p - 1, m FROM walk WHERE p > 1 AND {_base('p')} = {_base('p + m')}""",
     "ends": "SELECT k, CHR, m, min(p) AS p FROM walk GROUP BY 1, 2, 3",
 }
+# the rows of all studies: a study's number decides which columns it has, and NULL stands for those it lacks
+_CTES["sa"] = """SELECT s.* REPLACE (upper(otherAllele) AS otherAllele, upper(effectAllele) AS effectAllele,
+    CASE WHEN g <> 1 THEN infoScore END AS infoScore, CASE WHEN g <> 1 THEN effect_AF END AS effect_AF,
+    CASE WHEN g = 0 THEN cases_AF END AS cases_AF, CASE WHEN g = 0 THEN controls_AF END AS controls_AF),
+    n, g, n_name || '.tsv' AS phenotype_file, n_regionkey AS region
+    FROM (SELECT *, c % 25 AS n, c % 25 % 3 AS g FROM sr) s JOIN nation ON n_nationkey = n"""
+_STEPS = ["effectAllele <> 'I'", "beta IS NOT NULL AND SE IS NOT NULL", "(g = 1 OR effect_AF BETWEEN 0.001 AND 0.999)",
+    "(g <> 0 OR cases_AF * (1000 + n) * 2 > 25)", "(g = 1 OR infoScore > 0.3)"]
 _CTES["rcs"] = _CTES["rc"].replace("SRC", "si")
 _CTES["rcn"] = _CTES["rc"].replace("SRC", "ni")
 del _CTES["rc"]
@@ -477,6 +485,17 @@ def statements() -> dict[str, str]:
             AND (i < 4 OR cases_AF * 1000 * 2 > 25) AND (i < 5 OR infoScore > 0.3))) AS n_rows
             FROM sr, (VALUES (0, 'all'), (1, 'acgt'), (2, 'effect_known'), (3, 'effect_AF'), (4, 'case_count'), (5, 'infoScore')) t(i, name)
             GROUP BY 1, 2""",
+        "ss_qc_all": f"""SELECT phenotype_file, 'study_' || n AS study, 'trait_' || region AS phenotype,
+            CASE WHEN n % 2 = 0 THEN 'hg19' ELSE 'hg38' END AS build, CHR, POS, ID, otherAllele, effectAllele,
+            {_r('SE', 'beta', 'pvalue', 'infoScore', 'effect_AF', 'cases_AF', 'controls_AF')},
+            concat_ws(';', 'effectAllele=' || effectAllele, 'SE=' || SE, 'beta=' || beta, 'pvalue=' || pvalue, 'infoScore=' || infoScore,
+                'effect_AF=' || effect_AF, 'cases_AF=' || cases_AF, 'controls_AF=' || controls_AF,
+                'total_N=' || (100000 + n) || ';cases_N=' || (1000 + n) || ';controls_N=99000;phenotype=trait_' || region || ';study=study_' || n) AS INFO
+            FROM sa WHERE {' AND '.join(_STEPS)}""",
+        "ss_funnel_all": "SELECT phenotype_file, CAST(i AS BIGINT) AS step_no, name AS step, count(1) FILTER (WHERE i = 0"
+            + "".join(f" OR (i = {i} AND {' AND '.join(_STEPS[:i])})" for i in range(1, 6))
+            + """) AS n_rows FROM sa, (VALUES (0, 'all'), (1, 'acgt'), (2, 'effect_known'), (3, 'effect_AF'), (4, 'case_count'),
+            (5, 'infoScore')) t(i, name) GROUP BY 1, 2, 3""",
         "ss_qc_cases_af": "SELECT CHR, POS, ID, otherAllele, effectAllele, round(cases_AF, 6) AS cases_AF FROM sc WHERE cases_AF BETWEEN 0.001 AND 0.999",
         "matrix_roundtrip": """SELECT substr(contigName, 4) AS contigName, vid, start, CAST(vid % 2 + 1 AS BIGINT) AS a_index, n_entries, n_alt
             FROM sv JOIN (SELECT sid * 2 + a_index - 1 AS vid, count(*) AS n_entries,

@@ -652,6 +652,26 @@ def ss_funnel(spark, sf_dir):
     return counts.withColumn("step_no", F.col("step_no").cast("bigint"))
 
 
+def _all_studies(spark, sf_dir):
+    paths = fixtures.write_studies_text(spark, sf_dir, scratch_path(spark, "studies"))
+    return sumstats_source.read_studies(spark, paths, fixtures.studies(spark, sf_dir))
+
+
+@query
+def ss_qc_all(spark, sf_dir):
+    """All studies of the metadata, of three column layouts, read and cleaned in one plan."""
+    rows = sumstats.qc_studies(_all_studies(spark, sf_dir)).transform(sumstats.info_text)
+    values = _round("SE", "beta", "pvalue", "infoScore", "effect_AF", "cases_AF", "controls_AF")
+    names = ("phenotype_file", "study", "phenotype", "build", "CHR", "POS", "ID", "otherAllele", "effectAllele")
+    return rows.select(*names, *values, "INFO")
+
+
+@query
+def ss_funnel_all(spark, sf_dir):
+    counts = sumstats.studies_funnel(_all_studies(spark, sf_dir))
+    return counts.withColumn("step_no", F.col("step_no").cast("bigint"))
+
+
 @query
 def ss_info_build(spark, sf_dir):
     return _clean(spark, sf_dir).transform(sumstats.info_text).select("CHR", "POS", "ID", "INFO")

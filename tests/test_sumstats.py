@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siteloom.operators import harmonise, intervals, liftover, normalize
-from siteloom.operators.sumstats import Study, info_text, qc_summary_stats, rename_columns, to_vcf_rows
+from siteloom.operators.sumstats import Study, info_text, qc_studies, qc_summary_stats, rename_columns, studies_funnel, to_vcf_rows
 from siteloom.plans import pipelines
 from siteloom.sources import sumstats as source
 
@@ -92,6 +92,72 @@ def test_unmapped_columns_and_null_info(spark):
     assert info_text(df).first().INFO == "beta=.;total_N=1;cases_N=.;controls_N=.;phenotype=P;study=S"
 
 
+# --- many studies at once -----------------------------------------------------------------------------
+
+MANY = ["one.tsv", "two + 2%20é.tsv", "part=three.tsv"]
+
+
+def many_studies(spark, tmp_path):
+    """Three studies: a file, a file of a difficult name, and a folder of two files; their columns differ."""
+    row = {c: None for c in ("CHR", "POS", "otherAllele", "effectAllele", "SE", "beta", "infoScore", "cases_AF", "total_N", "cases_N", "controls_N")}
+    base = row | dict(CHR="c", POS="p", otherAllele="a1", effectAllele="a2", SE="se", beta="b", phenotype="P", build="hg19", cases_N="100")
+    rows = [
+        base | dict(phenotype_file="one.tsv", study="S1", infoScore="info"),
+        base | dict(phenotype_file=MANY[1], study="S2", cases_AF="caf", build="hg38"),
+        base | dict(phenotype_file="three.tsv", study="S3", otherAllele="a2", effectAllele="a1"),
+        base | dict(phenotype_file="twice.tsv", study="S4"),
+        base | dict(phenotype_file="twice.tsv", study="S5"),
+        base | dict(phenotype_file="lacking.tsv", study="S6", beta="not there"),
+    ]
+    metadata = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in rows[0]))
+    (tmp_path / MANY[0]).write_text("c\tp\ta1\ta2\tb\tse\tinfo\n1\t5\ta\tg\t0.1\t0.2\t0.9\n1\t6\tA\tG\t0.1\t0.2\t0.1\n1\t7\tA\tG\t-99\t0.2\t0.9\n")
+    (tmp_path / MANY[1]).write_text("caf\tx\tse\tb\ta2\ta1\tp\tc\n0.5\tx\t0.3\t0.4\tT\tC\t8\t2\n0.1\tx\t0.3\t0.4\tT\tC\t9\t2\n")
+    folder = tmp_path / MANY[2]
+    folder.mkdir()
+    for i in range(2):
+        (folder / f"part-{i}.csv").write_text(f"c\tp\ta1\ta2\tb\tse\n3\t{10 + i}\tA\tC\t0.5\t0.6\n")
+    for name in ("twice.tsv", "lacking.tsv", "unknown.tsv"):
+        (tmp_path / name).write_text("c\tp\ta1\ta2\tb\tse\n")
+    return metadata
+
+
+def test_many_studies_are_read_together(spark, tmp_path):
+    metadata = many_studies(spark, tmp_path)
+    rows = source.read_studies(spark, [str(tmp_path / n) for n in MANY], metadata)
+    assert rows.count() == 7
+    kept = {(r.study, r.POS): r for r in info_text(qc_studies(rows)).collect()}
+    assert set(kept) == {("S1", 5), ("S2", 8), ("S3", 10), ("S3", 11)}
+    assert kept["S3", 10].otherAllele == "C" and kept["S3", 10].effectAllele == "A" and kept["S1", 5].otherAllele == "A"
+    assert kept["S2", 8].phenotype_file == MANY[1] and kept["S2", 8].build == "hg38" and kept["S2", 8].infoScore is None
+    assert kept["S2", 8].INFO == "effectAllele=T;SE=0.3;beta=0.4;cases_AF=0.5;total_N=.;cases_N=100;controls_N=.;phenotype=P;study=S2"
+    # the same rows as one study at a time
+    for name in MANY:
+        study = source.find_study(metadata, name.split("=")[-1])
+        alone = info_text(qc_summary_stats(source.read_summary_stats(spark, str(tmp_path / name), study), study))
+        assert sorted(r.INFO for r in alone.collect()) == sorted(r.INFO for r in kept.values() if r.study == study.study)
+    steps = {(r.phenotype_file, r.step): r.n_rows for r in studies_funnel(rows).collect()}
+    assert [steps["one.tsv", s] for s in ("all", "effect_known", "infoScore")] == [3, 2, 1] and steps[MANY[1], "case_count"] == 1
+
+
+def test_many_studies_are_one_scan(spark, tmp_path):
+    metadata = many_studies(spark, tmp_path)
+    plan = qc_studies(source.read_studies(spark, [str(tmp_path / n) for n in MANY], metadata))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "Exchange hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("name", ["twice.tsv", "unknown.tsv", "lacking.tsv"])
+def test_every_file_needs_its_one_study(spark, tmp_path, name):
+    metadata = many_studies(spark, tmp_path)
+    with pytest.raises(ValueError, match=name):
+        source.read_studies(spark, [str(tmp_path / n) for n in (MANY[0], name)], metadata)
+
+
+def test_paths_of_one_name_are_refused(spark, tmp_path):
+    metadata = many_studies(spark, tmp_path)
+    with pytest.raises(ValueError, match="one name"):
+        source.read_studies(spark, [str(tmp_path / MANY[0]), str(tmp_path / "x" / MANY[0])], metadata)
+
+
 # --- reference, liftover and alignment --------------------------------------------------------------
 
 SIZE = 16
