@@ -164,6 +164,18 @@ _CTES |= {
     "greedy": """SELECT 0::BIGINT AS r, []::BIGINT[] AS kept
         UNION ALL SELECT g.r + 1, CASE WHEN list_has_any(coalesce(n.earlier, []), g.kept) THEN g.kept
             ELSE list_append(g.kept, n.r) END FROM greedy g JOIN near n ON n.r = g.r + 1""",
+    # the same over the rows that pass the site filters, ties by uid
+    "qp": """SELECT sid * 2 + a_index - 1 AS vid, sid, a_index, concat_ws(':', contigName, start + 1, ref, alt) AS uid FROM qc
+        WHERE call_rate > 0.97 AND af > 0.01 AND af < 0.99 AND p > 1e-16
+        AND length(alt) = 1 AND ref <> alt AND contigName NOT IN ('chrX', 'chrY')""",
+    "qe": "SELECT u, v FROM edge WHERE u IN (SELECT vid FROM qp) AND v IN (SELECT vid FROM qp)",
+    "qr": """SELECT vid, row_number() OVER (ORDER BY -least(mean / 2, 1 - mean / 2), uid) AS r
+        FROM dm JOIN qp USING (vid) WHERE vid IN (SELECT u FROM qe)""",
+    "qn": """SELECT r.r, r.vid, list(n.r) FILTER (n.r < r.r) AS earlier FROM qr r JOIN qe e ON e.u = r.vid
+        JOIN qr n ON n.vid = e.v GROUP BY 1, 2""",
+    "qg": """SELECT 0::BIGINT AS r, []::BIGINT[] AS kept
+        UNION ALL SELECT g.r + 1, CASE WHEN list_has_any(coalesce(n.earlier, []), g.kept) THEN g.kept
+            ELSE list_append(g.kept, n.r) END FROM qg g JOIN qn n ON n.r = g.r + 1""",
     # --- consequences
     "gene": "SELECT *, (sid % 24) * 10 + (sid // 24) % 10 AS gene FROM vv",
     "cj": """SELECT *, gene * 3 + j AS tx, (sid * 13) % (300 + gene * 3) + 1 AS cp
@@ -304,7 +316,7 @@ _STEPS = ["effectAllele <> 'I'", "beta IS NOT NULL AND SE IS NOT NULL", "(g = 1
 _CTES["rcs"] = _CTES["rc"].replace("SRC", "si")
 _CTES["rcn"] = _CTES["rc"].replace("SRC", "ni")
 del _CTES["rc"]
-_RECURSIVE = {"greedy", "walk"}
+_RECURSIVE = {"greedy", "qg", "walk"}
 
 
 def _needed(text: str) -> set[str]:
@@ -439,6 +451,13 @@ def statements() -> dict[str, str]:
         "ld_r2": "SELECT a_vid, b_vid, n_both, round(r2, 6) AS r2 FROM lr",
         "ld_prune": """SELECT vid, contigName, start FROM sv WHERE vid // 2 IN (SELECT sid FROM vg) AND vid NOT IN (
             SELECT vid FROM rank WHERE r NOT IN (SELECT unnest(kept) FROM (SELECT kept FROM greedy ORDER BY r DESC LIMIT 1)))""",
+        "pruned_probabilities": """SELECT sid, uid, sampleId, CASE WHEN called THEN CAST(d = 0 AS DOUBLE) END AS gp0,
+            CASE WHEN called THEN CAST(d = 1 AS DOUBLE) END AS gp1, CASE WHEN called THEN CAST(d = 2 AS DOUBLE) END AS gp2,
+            round(m, 6) AS mean_dosage, round(CASE WHEN called THEN d ELSE m END, 6) AS dosage FROM (
+            SELECT q.sid, uid, sampleId, x1 >= 0 AND x2 >= 0 AS called, x1 + x2 AS d,
+                avg(CASE WHEN x1 >= 0 AND x2 >= 0 THEN x1 + x2 END) OVER (PARTITION BY q.vid) AS m
+            FROM qp q JOIN vd x ON x.sid = q.sid AND x.a_index = q.a_index WHERE q.vid NOT IN (
+                SELECT vid FROM qr WHERE r NOT IN (SELECT unnest(kept) FROM (SELECT kept FROM qg ORDER BY r DESC LIMIT 1))))""",
         "ld_semi": "SELECT sid, contigName, start FROM vs WHERE p_size > 25",
         "csq_text_parse": """SELECT uid, CHR, POS, REF, ALT, CASE WHEN sid % 3 = 1 THEN 'AC=1;' ELSE '' END || 'CSQ=' || csqs AS INFO, csqs
             FROM csq WHERE uid IN (SELECT uid FROM text_sids)""",
@@ -589,4 +608,13 @@ def statements() -> dict[str, str]:
     }
     # the same results from tables laid out beforehand
     q |= {"annotate_stored": q["annotate_full"], "annot_joinback_stored": q["annot_joinback"], "qc_funnel_written": q["qc_funnel"]}
+    # only T > ATT has a common suffix: an insertion of AT before the T, which goes left over text that repeats it
+    q["site_lookup_normalised"] = f"""WITH plain AS ({q["site_lookup"]}),
+        moved AS (SELECT *, REF = 'T' AND ALT = 'ATT' AS indel, list_position(list_transform(range(1, 61), lambda i:
+            {_base('POS - i')} <> CASE WHEN i % 2 = 1 THEN 'T' ELSE 'A' END), true) - 1 AS k FROM plain),
+        named AS (SELECT * REPLACE (CASE WHEN indel THEN POS - k - 1 ELSE POS END AS POS,
+            CASE WHEN indel THEN {_base('POS - k - 1')} ELSE REF END AS REF,
+            CASE WHEN indel THEN {_base('POS - k - 1')} || CASE WHEN k % 2 = 0 THEN 'AT' ELSE 'TA' END ELSE ALT END AS ALT) FROM moved)
+        SELECT * EXCLUDE (indel, k) REPLACE (POS - 1 AS start, POS - 1 + length(REF) AS "end", concat_ws(':', contigName, POS, REF, ALT) AS uid)
+        FROM named"""
     return {name: _sql(text) for name, text in q.items()}

@@ -232,7 +232,17 @@ def hom_ab(spark, sf_dir):
 
 @query
 def site_lookup(spark, sf_dir):
-    rows = pipelines.lookup_table(fixtures.pvcf(spark, sf_dir), fields_to_include=["sid"])
+    return _lookup_columns(pipelines.lookup_table(fixtures.pvcf(spark, sf_dir), fields_to_include=["sid"]))
+
+
+@query
+def site_lookup_normalised(spark, sf_dir):
+    """The lookup table with its indels left-aligned against the reference first."""
+    reference = fixtures.reference(spark, sf_dir)
+    return _lookup_columns(pipelines.lookup_table(fixtures.pvcf(spark, sf_dir), reference, ["sid"]))
+
+
+def _lookup_columns(rows):
     het, hom = "het_alleleDepth_quartiles", "hom_alleleDepth_quartiles"
     return rows.select(
         "sid",
@@ -370,6 +380,18 @@ def ld_prune(spark, sf_dir):
     return rows.select("vid", "contigName", "start")
 
 
+@query
+def pruned_probabilities(spark, sf_dir):
+    """Quality control, pruning, imputation and genotype probabilities in one pipeline; one row per entry."""
+    rows = pipelines.pruned_probabilities(
+        fixtures.pvcf(spark, sf_dir), max_r2=LINKED_R2, sample_index=_sample, tie_by_key=True
+    )
+    entries = F.arrays_zip(F.col("genotypes")["sampleId"].alias("sampleId"), "gp", "dosages")
+    cells = rows.select("sid", "uid", "mean_dosage", F.inline(entries).alias("sampleId", "gp", "dosage"))
+    probabilities = [_at("gp", i).alias(f"gp{i}") for i in range(3)]
+    return cells.select("sid", "uid", "sampleId", *probabilities, *_round("mean_dosage", "dosage"))
+
+
 @query
 def ld_semi(spark, sf_dir):
     kept = fixtures.table(spark, sf_dir, "part").where("p_size > 25").selectExpr("p_partkey AS sid")
