@@ -68,12 +68,35 @@ def test_both_nearest_paths_equal_brute_force(spark, crowded):
                 lists[kind == "protein_coding"].append((abs(d), name, gene, kind, d))
         if lists[True] or lists[False]:
             want[v.uid] = (sorted(lists[True])[:4], sorted(lists[False])[:4])
-    for options in ({}, {"max_broadcast_rows": 0}):
+    for options in ({}, {"max_scan_features": 0}, {"max_broadcast_rows": 0}):
         out = nearest.nearest_genes(variants, features, **options).collect()
         got = {r.uid: ([tuple(x) for x in r[nearest.CODING]], [tuple(x) for x in r[nearest.OTHER]]) for r in out}
         assert got == want
 
 
+@pytest.mark.parametrize("k", [1, 4])
+def test_nearest_ties_and_nested_features(spark, k):
+    """Small positions, so that ends, starts and names tie everywhere and features hold one another."""
+    rng = random.Random(k)
+    variants = spark.createDataFrame([(f"v{i}", "1", "A", "C", i) for i in range(1, 90)], "uid string, CHR string, REF string, ALT string, POS bigint")
+    spans = [(s, s + rng.choice([0, 1, 5, 40]), f"E{i}", f"G{i % 5}", rng.choice(["protein_coding", None])) for i, s in enumerate(rng.choices(range(1, 80), k=60))]
+    features = spark.createDataFrame(
+        [("1", *f) for f in spans], "CHR string, featureStart bigint, featureEnd bigint, geneId string, GeneName string, biotype string"
+    )
+    paths = ({}, {"max_scan_features": 0}, {"max_broadcast_rows": 0})
+    scan, index, join = ({r.uid: r for r in nearest.nearest_genes(variants, features, reach=20, k=k, **options).collect()} for options in paths)
+    assert scan == index == join and len(scan) > 80
+
+
+def test_crowded_features_turned_around_take_the_join(spark, crowded):
+    variants, features = crowded
+    turned = features.unionByName(
+        features.limit(1).selectExpr("CHR", "featureEnd AS featureStart", "featureStart AS featureEnd", "'t' AS geneId", "GeneName", "biotype")
+    )
+    assert not nearest._crowding(features, 500_000, 10**6)[2] and nearest._crowding(turned, 500_000, 10**6)[2]
+    assert rows(nearest.nearest_genes(variants, turned, max_scan_features=0)) == rows(nearest.nearest_genes(variants, turned))
+
+
 def test_nearest_merges_copies_and_keeps_extra_columns(spark, crowded):
     variants, features = crowded
     doubled = variants.unionByName(variants).withColumn("note", F.lit("n"))
