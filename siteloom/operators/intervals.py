@@ -102,14 +102,15 @@ def index_join(
 
 
 def pairs_within(
-    sites: DataFrame, *, contig: str, pos: str, key: str, window: int, crowd: int | None = None
+    sites: DataFrame, *, contig: str, pos: str, key: str, window: int, crowd: int | None = None, keep: Column | None = None
 ) -> DataFrame:
     """Self-join of sites: each unordered pair on one contig at most ``window`` apart, once.
 
     The left site (lower position, then lower key) looks in its own bin and the next one only. Columns of
     the two sides come out as ``a_<name>`` and ``b_<name>``. With ``crowd``, the right sites of a bin that holds
     more than so many are dealt to salts, and the left sites that look there are sent to all of them; other bins
-    have one salt.
+    have one salt. ``keep`` is a further condition on ``a_`` and ``b_`` columns; it is part of the join, so other
+    pairs are never made into rows.
     """
     own = [c for c in sites.columns if c != contig]
     here = bin_of(F.col(pos), window)
@@ -125,4 +126,5 @@ def pairs_within(
         left, right, keys = left.drop("_salts"), right.drop("_salts"), [*keys, "_salt"]
     gap = F.col(f"b_{pos}") - F.col(f"a_{pos}")
     ordered = (gap > 0) | ((gap == 0) & (F.col(f"a_{key}") < F.col(f"b_{key}")))
-    return left.join(right, keys).where(ordered & (gap <= window)).drop("_bin", "_salt")
+    wanted = ordered & (gap <= window)
+    return left.join(right, keys).where(wanted if keep is None else wanted & keep).drop("_bin", "_salt")

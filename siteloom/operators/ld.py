@@ -71,6 +71,29 @@ def pack_words(df: DataFrame, key: str, sample_index=None) -> DataFrame:
     return summed.select("contigName", "start", key, "n", "s", d.alias("d"), planes.alias("words"))
 
 
+def _spreads(packed: DataFrame) -> DataFrame:
+    """Adds ``reach`` and ``grip``: squares of the absolute and of the half range of deviations, over their square sum.
+
+    Genotype counts follow from n, s and d. Deviations u of a site add up to zero and those of another, v, lie in a
+    range of width w (uncalled samples stand at zero, inside it), so |<u, v>| <= sum|u| * w / 2. Hence r2 of a pair is
+    at most ``reach`` of either site times ``grip`` of the other.
+    """
+    n, s, d = (F.col(c).cast("double") for c in ("n", "s", "d"))
+    squares = F.round((d + s * s) / n)
+    two, mean = F.floor((squares - s) / 2), s / n
+    one = s - 2 * two
+    none = n - one - two
+    absolute = none * mean + one * F.abs(1 - mean) + two * (2 - mean)
+    width = F.when(two > 0, 2.0).otherwise(1.0) - F.when(none > 0, 0.0).otherwise(1.0)
+    return packed.withColumns({"reach": absolute * absolute * n / d, "grip": width * width / 4 * n / d})
+
+
+def linkable(min_r2: float) -> Column:
+    """Can a pair reach ``min_r2`` by the allele frequencies of its sites? A condition on columns of ``_spreads``."""
+    least = F.lit(min_r2 * (1 - 1e-9))
+    return (F.col("a_reach") * F.col("b_grip") >= least) & (F.col("b_reach") * F.col("a_grip") >= least)
+
+
 def site_pairs(df: DataFrame, key: str, window: int = WINDOW) -> DataFrame:
     """Site pairs on one contig within ``window``: (contigName, a_start, a_<key>, b_start, b_<key>)."""
     return pairs_within(
@@ -85,10 +108,16 @@ def ld_r2(df: DataFrame, key: str, window: int = WINDOW, sample_index=None, min_
     from integer sums, scaled by both called counts, so nothing cancels; the products are decimals, which hold
     them for any cohort below 300 million samples. Pairs without a shared called sample, or with a constant site,
     have no correlation and give no row. A row with several alternate alleles is an error: split first.
+
+    With ``min_r2``, pairs whose allele frequencies allow no such correlation are left out in the join, by a few
+    numbers a site, before any word is compared: rare sites then meet only sites about as rare.
     """
     # the fold of all genotypes is the dearest step and the pairing needs it three times, so it is written once
     packed = stored(pack_words(df, key, sample_index).where(F.col("d") > 0), "ld-packed")
-    joined = pairs_within(packed, contig="contigName", pos="start", key=key, window=window, crowd=512)
+    keep = None
+    if min_r2 is not None:
+        packed, keep = _spreads(packed), linkable(min_r2)
+    joined = pairs_within(packed, contig="contigName", pos="start", key=key, window=window, crowd=512, keep=keep)
     zero = F.struct(*[F.lit(0).cast("bigint").alias(name) for name in ("n", "xy", "x", "y")])
 
     def common(x: Column, y: Column) -> Column:

@@ -85,6 +85,31 @@ def test_default_ties_leave_a_maximal_set_without_linked_pairs(pvcf, cohort):
         assert i in kept or any(i in pair and (kept & set(pair)) for pair in linked)
 
 
+def test_frequency_bound_skips_pairs_and_loses_none(spark):
+    """Sites of many frequencies, some without a kind of genotype, some mostly uncalled: no linked pair is lost."""
+    from siteloom.operators.intervals import pairs_within
+
+    rng, to_calls, rows, sites = random.Random(9), {None: [-1, -1], 0: [0, 0], 1: [1, 0], 2: [1, 1]}, [], []
+    base = [rng.random() for _ in range(90)]
+    for i in range(80):
+        p = rng.choice([0.01, 0.03, 0.1, 0.3, 0.5, 0.8, 0.97])
+        own = base if i % 3 else [rng.random() for _ in range(90)]
+        kinds = ((0, 2), (0, 1), (1, 2), (0, 1))[i % 4]
+        g = [kinds[u < p] if i % 4 < 3 else (u < p) + (u < p * p) for u in own]
+        g = [None if rng.random() < (0.6 if i % 7 == 0 else 0.02) else x for x in g]
+        sites.append((i, "chr1", i, g))
+        rows.append((i, "chr1", i, ["C"], [(to_calls[x], f"s{j}") for j, x in enumerate(g)]))
+    schema = "sid int, contigName string, start bigint, alternateAlleles array<string>, genotypes array<struct<calls:array<int>,sampleId:string>>"
+    df = spark.createDataFrame(rows, schema)
+    every = {(r.a_sid, r.b_sid): r.r2 for r in ld.ld_r2(df, "sid", WINDOW).collect()}
+    spread = ld._spreads(ld.pack_words(df, "sid").where("d > 0"))
+    for least in (0.05, 0.2, 0.6, 0.9):
+        found = {(r.a_sid, r.b_sid) for r in ld.ld_r2(df, "sid", WINDOW, min_r2=least).collect()}
+        assert found == {k for k, v in every.items() if v >= least}
+    met = pairs_within(spread, contig="contigName", pos="start", key="sid", window=WINDOW, keep=ld.linkable(0.6)).count()
+    assert 0 < met < 0.7 * len(every)
+
+
 def test_multiallelic_rows_are_refused(pvcf):
     multi = pvcf.withColumn("alternateAlleles", F.array(F.lit("C"), F.lit("G")))
     with pytest.raises(Exception, match="LD needs split rows"):
