@@ -1,7 +1,10 @@
 """Order MinHash fingerprints, in DataFrame expressions only.
 
-A text is read as pieces of up to ``PIECE`` characters between white space, each with the white space after it;
-a k-mer is ``K`` pieces in a row (all of them, if there are fewer). K-mers are numbered by occurrence in text order,
+A text is read as pieces of up to ``PIECE`` characters between white space, each with the white space after it. Where
+``RUN`` or more characters without white space lie ahead, the next piece starts one character later, so pieces overlap
+there and stand at every code point; the last ``RUN - 1`` characters of a run are cut from a place that its end fixes.
+An edit therefore changes pieces within ``RUN`` characters around it only, whatever the script. A k-mer is ``K`` pieces
+in a row (all of them, if there are fewer). K-mers are numbered by occurrence in text order,
 so a repeated k-mer counts as often as it stands there. Each of ``COORDINATES`` orders of the numbered k-mers picks
 its ``TAKEN`` least; they are put back into text order and the tuple is hashed. A coordinate agrees in two texts
 only if they share the picked k-mers in the same order, which is what makes the signature follow the edit distance
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from siteloom.functions.once import compute_once
 
 PIECE, K = 6, 3
+RUN = 24
 COORDINATES, TAKEN = 32, 2
 LOW = 1 << 31
 MARK = LOW - 1
@@ -80,7 +84,8 @@ def signature(kmers: Column) -> Column:
         def one(j: Column) -> Column:
             mark = F.shiftleft(j.cast("bigint") * step, 31) - 1
             after = F.slice(circle, F.array_position(circle, mark).cast("int") + 1, TAKEN + COORDINATES)
-            taken = F.slice(F.filter(after, lambda x: x.bitwiseAND(F.lit(MARK)) != MARK), 1, TAKEN)
+            # the only k-mer of a short text comes round twice
+            taken = F.array_distinct(F.slice(F.filter(after, lambda x: x.bitwiseAND(F.lit(MARK)) != MARK), 1, TAKEN))
             ordered = F.array_sort(F.transform(taken, lambda x: F.struct(x.bitwiseAND(F.lit(LOW - 1)).alias("at"), F.shiftright(x, 31).alias("of"))))
             return F.xxhash64(F.transform(ordered, lambda x: x["of"]), j)
 
@@ -95,7 +100,9 @@ def signature(kmers: Column) -> Column:
 
 def fingerprint(text: Column) -> Column:
     """``array<bigint>``; null counts as empty, and an empty or blank text has an empty fingerprint."""
-    pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(\\S{1,%d}\\s*)" % PIECE), 1)
+    piece = r"\S{1,%d}\s*" % PIECE
+    overlapping = r"(?=(%s))(?:\S(?=\S{%d})|%s)" % (piece, RUN - 1, piece)
+    pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(overlapping), 1)
     return _bound(numbered_kmers(pieces), signature)
 
 

@@ -29,13 +29,12 @@ from siteloom.llm.urls import host
 VOTE_SHARE = 0.001
 # Paths of all hosts that a broadcast may hold.
 BROADCAST_PATHS = 200_000
-VOTES_PER_PAGE = 6
 TAG_WEIGHTS = {"html": 0.9, "body": 0.9, "article": 2.0, "main": 1.5}
 SALTS = 16
 
 # Fixed values of HTML: elements without end tag, with raw content, and those that break a line of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|textarea|svg|iframe|object|math|canvas|title|select|audio|video"
+RAW = "script|style|noscript|template|textarea|svg|iframe|object|annotation-xml|annotation|canvas|title|select|audio|video"
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -48,17 +47,31 @@ CLOSES = {t: frozenset(["p"]) for t in BLOCK - {"html", "head", "body"}} | {
 }
 SCOPE = frozenset("ul ol dl table div section article main body td th blockquote".split())
 # What never is article text, by tag and by words in class, identifier or role.
-OUTSIDE_TAGS = frozenset("nav footer aside form button dialog menu label fieldset input figcaption".split())
+OUTSIDE_TAGS = frozenset("nav footer aside form button dialog menu label fieldset input".split())
 OUTSIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion promoted comment comments disqus respond "
     "reply replies sidebar side aside widget menu nav navigation navbar breadcrumb breadcrumbs pagination pager footer foot header masthead topbar "
     "cookie cookies consent gdpr notice notices banner alert popup modal overlay newsletter subscribe subscription signup login share sharing "
     "social related recommended recommendations tags toolbar search skip complementary contentinfo hidden copyright disclaimer".split()
 )
+# Of these, words that also name subjects or parts of an article: they count only in names made of such words and of PLAIN_WORDS.
+TOPICAL_WORDS = frozenset(
+    "comment comments respond reply replies side menu header head foot footer notice notices alert banner hidden share sharing social related "
+    "recommended recommendations search skip subscribe subscription signup login consent sponsor promotion promoted tags disclaimer copyright "
+    "complementary".split()
+)
+PLAIN_WORDS = frozenset(
+    "list lists item items box boxes block wrap wrapper container section area bar row col column inner outer left right top bottom main site page "
+    "post posts article articles entry story content contents text body panel links link buttons button icons icon form group grid card cards "
+    "title count message messages msg area unit the and to of by your us up on for a".split()
+)
+# A name of these and of "header" or "head" is an article's own heading.
+HEADED_WORDS = frozenset("article post entry story content".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 INSIDE_WORDS = frozenset("article post entry content story main text body page".split())
 
 _TOKEN = regex.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*?(?:(?<!/)>.*?(?:</(?P=raw)\s*>|\Z)|/>)|<[!?][^>]*(?:>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?![\w-])[^>]*?(?:(?<!/)>.*?(?:</(?P=raw)\s*>|\Z)|/>)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attr>(?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attr2>[^>]*)(?:>|\Z)|(?P<text>[^<]+|<)",
     regex.S | regex.I,
@@ -68,16 +81,38 @@ _HIDDEN = regex.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|
 _WORD = regex.compile(r"[a-z]+").findall
 
 
+def _names_outside(words: list[str]) -> bool:
+    """Does a class, id or role made of these words name something beside the article?
+
+    ``sidebar-left`` and ``comments-list`` do; ``share-price``, ``side-effects`` and ``post-header`` do not.
+    """
+    listed = OUTSIDE_WORDS.intersection(words)
+    if not listed <= TOPICAL_WORDS:
+        return True
+    if not listed or listed <= {"header", "head"} and HEADED_WORDS.intersection(words):
+        return False
+    return all(w in OUTSIDE_WORDS or w in PLAIN_WORDS for w in words)
+
+
 def _step(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """A generalised step of a path; does the element lie outside the article, and does its name promise text?"""
+    """A generalised step of a path; does the element lie outside the article, and does its name promise text?
+
+    The id of a heading is made from its text, so it is not read.
+    """
     classes: list[str] = []
-    words: set[str] = set()
+    outside = inside = False
     for name, *values in _NAMED(attributes):
-        own = " ".join(values).lower()
-        if name.lower() == "class":
+        own, name = " ".join(values).lower(), name.lower()
+        if name == "class":
             classes = sorted({"".join(c for c in k if not c.isdigit()).strip("-_") for k in own.split()} - {""})
-        words.update(w for k in own.split() if not k.startswith(("no-", "has-", "with-")) for w in _WORD(k))
-    return ".".join([tag, *classes]), bool(words & OUTSIDE_WORDS), bool(words & INSIDE_WORDS)
+        elif name == "id" and tag in HEADINGS:
+            continue
+        for token in own.split():
+            if not token.startswith(("no-", "has-", "with-")):
+                words = _WORD(token)
+                outside = outside or _names_outside(words)
+                inside = inside or not INSIDE_WORDS.isdisjoint(words)
+    return ".".join([tag, *classes]), outside, inside
 
 
 def blocks(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
@@ -177,7 +212,7 @@ def votes(page: str, found: list | None = None) -> list[tuple[str, int]]:
     ranked.sort(key=lambda r: (-r[0], -r[1], r[2]))
     if not ranked or ranked[0][0] <= 0:
         return []
-    return [(name, max(1, int(1000 * (value / ranked[0][0]) ** 3))) for value, _, name in ranked[:VOTES_PER_PAGE] if value > 0]
+    return [(name, max(1, int(1000 * (value / ranked[0][0]) ** 3))) for value, _, name in ranked if value > 0]
 
 
 def main_text(page: str, paths: list[str]) -> str:
@@ -214,10 +249,18 @@ def _choices(paths: list[str], has: set[str], best: str | None) -> list[str]:
 
 
 def _kept(found: list) -> list[str]:
-    """Texts of the blocks that stand in no outside element. Two or more blocks of links in a row are a menu."""
+    """Texts of the blocks that stand in no outside element.
+
+    Two or more blocks of links in a row are a menu, unless they stand in an article element or running text of the
+    same container comes before and after them.
+    """
+    prose = [i for i, (_, outside, linked, _) in enumerate(found) if not outside and not linked]
+    first, last = (prose[0], prose[-1]) if prose else (len(found), -1)
     kept = []
-    for i, (_, outside, linked, text) in enumerate(found):
+    for i, (path, outside, linked, text) in enumerate(found):
         menu = linked and ((i > 0 and found[i - 1][2]) or (i + 1 < len(found) and found[i + 1][2]))
+        if menu and not outside:
+            menu = not (first < i < last and path == found[first][0]) and not any(step.partition(".")[0] == "article" for step in path)
         if not outside and not menu:
             kept.append(text)
     return kept

@@ -157,3 +157,29 @@ def test_no_vectors(spark):
     schema = "vec_id bigint, embedding array<float>, label int"
     assert vectors.cosine_links(spark.createDataFrame([], schema)).count() == 0
     assert vectors.cosine_links(spark.createDataFrame([(1, None, 2)], schema)).first().n_links == 0
+
+
+def test_dense_block_in_bounded_memory():
+    """A block of near but unequal vectors: counts and parts as by brute force, whatever the strips; little memory."""
+    import tracemalloc
+
+    import pandas as pd
+
+    r = np.random.default_rng(3)
+    base = r.standard_normal((3, 64))
+    rows = np.concatenate([base[i] + 0.02 * r.standard_normal((n, 64)) for i, n in enumerate((1500, 700, 1))] + [r.standard_normal((20, 64))])
+    rows = rows[r.permutation(len(rows))]
+    n = len(rows)
+    unit = vectors._unit(rows)
+    near = unit @ unit.T >= vectors.COSINE
+    both = pd.DataFrame({"resident": [True] * n + [False] * n, "node": [*range(n)] * 2, "copies": 1, "vector": [*rows] * 2})
+    tracemalloc.start()
+    out = vectors._meet(both, vectors.COSINE)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    counts = out[out.other < 0].set_index("node").links.to_dict()
+    assert counts == dict(enumerate(near.sum(axis=1)))
+    forest = [(int(a), int(b)) for a, b in out[out.other >= 0][["node", "other"]].to_numpy()]
+    assert len(forest) < n
+    assert roots(range(n), forest) == roots(range(n), list(zip(*np.nonzero(near))))
+    assert peak < 250e6

@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import duckdb
 import pytest
+import xxhash
 from compare import compare, connect
 from pyspark.sql import functions as F
 
@@ -42,6 +44,67 @@ def test_fingerprint_rows(spark, documents, words):
     assert 0.1 < sum(got[i].near for i in range(9, 39)) / 30 < 0.6
 
 
+def plain_order_minhash(text):
+    """Order MinHash by sets, tuples and a sorted circle, one text at a time."""
+    low, step = (1 << 32) - 1, (1 << 32) // fingerprints.COORDINATES
+
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    def chained(*values):
+        seed = 42
+        for v in values:
+            data = v.encode() if isinstance(v, str) else v
+            seed = xxhash.xxh64_intdigest(data, seed)
+        return seed
+
+    def long(x):
+        return (x & (1 << 64) - 1).to_bytes(8, "little")
+
+    pieces, at = [], 0
+    while at < len(text):
+        if text[at].isspace():
+            at += 1
+            continue
+        run = len(re.match(r"\S+", text[at:])[0])
+        piece = re.match(r"\S{1,6}\s*", text[at:])[0]
+        pieces.append(piece)
+        at += 1 if run >= fingerprints.RUN else len(piece)
+    counts, kmers = {}, {}
+    for i in range(max(1, len(pieces) - fingerprints.K + 1) if pieces else 0):
+        own = chained(*(p for p in pieces[i : i + fingerprints.K])) & low
+        number = counts[own] = counts.get(own, -1) + 1
+        kmers[chained(long(own), number.to_bytes(4, "little")) & low, i] = None
+    if not kmers:
+        return []
+    circle = sorted(kmers)
+    made = []
+    for j in range(fingerprints.COORDINATES):
+        after = [k for k in circle if k[0] >= j * step] + [k for k in circle if k[0] < j * step]
+        taken = sorted(after[: fingerprints.TAKEN], key=lambda k: k[1])
+        made.append(signed(chained(*(long(k[0]) for k in taken), j.to_bytes(4, "little"))))
+    return made
+
+
+def test_fingerprints_equal_a_plain_order_minhash(spark, documents, words):
+    rng = random.Random(4)
+    unspaced = ["".join(rng.choice("abcdefgh日本語中文字") for _ in range(n)) for n in (23, 24, 25, 60, 700)]
+    texts = [*TEXTS, *unspaced, *(words(s, 150) for s in range(10)), "same same same " * 40]
+    out = documents(list(enumerate(texts))).withColumn("signature", fingerprints.fingerprint(F.col("text"))).collect()
+    assert {r.doc_id: list(r.signature) for r in out} == {i: plain_order_minhash(t) for i, t in enumerate(texts)}
+
+
+def test_an_insertion_moves_no_piece_far_away(spark):
+    """One letter put in front, or in the middle, of unspaced text of any script leaves the likeness high."""
+    rng = random.Random(5)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "日本語中文字的一是不了人我在有他这"):
+        base = "".join(rng.choice(letters) for _ in range(1200))
+        edited = [letters[0] + base, base[:600] + letters[1] + base[600:], base[:300] + base[301:]]
+        made = spark.createDataFrame([(e, base) for e in edited], "e string, b string")
+        near = made.select(fingerprints.likeness(fingerprints.fingerprint(F.col("e")), fingerprints.fingerprint(F.col("b")))).collect()
+        assert min(r[0] for r in near) > 0.8
+
+
 def test_order_and_repeats_count(spark):
     made = spark.createDataFrame([("a b c d e f g h i j k l m n o p q r s t u v w x y z " * 3,), ("n o p q r s t u v w x y z a b c d e f g h i j k l m " * 3,), ("a b c d e f g h i j k l m n o p q r s t u v w x y z " * 4,)], "text string")
     first, turned, longer = (r[0] for r in made.select(fingerprints.fingerprint(F.col("text"))).collect())

@@ -18,6 +18,11 @@ CASES = [
     ("<main><p>one<p>two<aside>no</aside><ul><li>three<li>four</ul></main>", "one\n\ntwo\n\nthree\n\nfour"),
     ("<div class='cookie-notice'>We use cookies and so on and on</div><main><p>Good text</p><div class=ad>Buy now</div></main>", "Good text"),
     ("<p>unclosed <b>bold <div>next", "unclosed bold\n\nnext"),
+    ("<article><p>See this</p><figure><img src=x><figcaption>A caption</figcaption></figure><p>x is <math><mi>y</mi><annotation>TeX</annotation></math> here</p></article>", "See this\n\nA caption\n\nx is y here"),
+    ("<article><p>Text</p><h2>References</h2><ul><li><a href=1>First source</a><li><a href=2>Second source</a></ul></article>", "Text\n\nReferences\n\nFirst source\n\nSecond source"),
+    ("<div class=content><p>Before</p><p><a href=1>Link one</a></p><p><a href=2>Link two</a></p><p>After that</p></div>", "Before\n\nLink one\n\nLink two\n\nAfter that"),
+    ("<article><div class='post-header'><h1>Title</h1></div><p class='share-price'>Up 3 %</p><div class='side-effects'><p>Few</p></div><h2 id='comments-on-war'>On war</h2><p>End</p></article>", "Title\n\nUp 3 %\n\nFew\n\nOn war\n\nEnd"),
+    ("<article><p>Kept text</p><div class='comments-list'><p>no</p></div><div class='social-share'>no</div><div id='related-posts'><p>no</p></div><div class='ad-slot-3'>no</div><p class='copyright'>no</p></article>", "Kept text"),
     ("<div><p a='1>2'>quoted</p></div><!-- open <p>no", "quoted"),
 ]
 
@@ -27,6 +32,13 @@ def test_pages(page, want):
     assert htmltext.main_text(page, [p for p, _ in htmltext.votes(page)]) == want
 
 
+def test_a_very_long_page_is_read_whole():
+    body = "".join(f"<p>paragraph {i} of a long page</p>" for i in range(60_000))
+    page = f"<body>{MENU}<article>{body}</article><footer>f</footer></body>"
+    text = htmltext.main_text(page, [p for p, _ in htmltext.votes(page)])
+    assert text.split("\n\n") == [f"paragraph {i} of a long page" for i in range(60_000)]
+
+
 def test_hosts_vote(spark):
     """A page whose advert outweighs its article follows the other pages of its host."""
     good = "<body><div class=box><p>{0}</p></div><div class=deal><p>{1}</p></div></body>"
