@@ -2,7 +2,7 @@
 
 Words are the chunks between white space, in two readings: the lower-cased letters, and an outline that keeps
 case, digits and signs but not the letters ("reerwh$$$" is "a$$$"). A chunk that repeats one of the two chunks
-before it has the outline of a repeat. Features are single words and outline n-grams of one to three, hashed to
+before it has the outline of a repeat. Features are n-grams of one to three words and of one to three outlines, hashed to
 ``DIMENSIONS``; a document's vector holds their shares, so its length doesn't matter. The score is the logistic
 function of one sparse dot product.
 
@@ -16,7 +16,6 @@ stochastic gradient descent" (2010) for the averaging.
 
 from __future__ import annotations
 
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -58,9 +57,10 @@ def slots(text: str) -> np.ndarray:
     word, shape, own = chunks[:, 0], chunks[:, 1].copy(), chunks[:, 2]
     shape[2:][own[2:] == own[:-2]] = 2
     shape[1:][own[1:] == own[:-1]] = 1
-    first, second, third = (shape * m for m in MIX)
-    grams = [word * MIX[0] + np.uint64(11), first + np.uint64(23)]
-    grams += [first[:-1] + second[1:] + np.uint64(37), first[:-2] + second[1:-1] + third[2:] + np.uint64(41)]
+    grams = []
+    for units, mark in ((word, 11), (shape, 37)):
+        first, second, third = (units * m for m in MIX)
+        grams += [first + np.uint64(mark), first[:-1] + second[1:] + np.uint64(mark + 6), first[:-2] + second[1:-1] + third[2:] + np.uint64(mark + 12)]
     return (spread(np.concatenate(grams)) >> np.uint64(46)).astype(np.int64)
 
 
@@ -96,13 +96,16 @@ def _row(text: str, label: int) -> tuple[np.ndarray, np.ndarray, int]:
 def sample(docs: DataFrame, labels: DataFrame, *, key: str, label: str, bound: int, seed: int = 7) -> tuple[DataFrame, int]:
     """``text`` and ``_label`` of at most about ``bound`` labelled rows, the same ones on every run; and about how many.
 
-    Rows without key or label are no examples. A key labelled twice counts with its largest label.
+    Rows without key or label are no examples. A key labelled twice counts with its largest label, and one with several
+    rows in ``docs`` gives one of their texts, so repeated keys cannot exceed the bound.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("_label"))
     total = max(1, known.count())
     share = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / 1_000_000
     picked = known.where(share < bound / total)
-    return docs.select(key, "text").join(F.broadcast(picked), key), min(bound, total)
+    met = docs.select(key, "text").join(F.broadcast(picked), key).withColumn("_order", F.xxhash64("text"))
+    one = met.groupBy(key).agg(F.min_by("text", "_order").alias("text"), F.first("_label").alias("_label"))
+    return one, min(bound, total)
 
 
 def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: str = "quality", bound: int = SAMPLE_ROWS) -> np.ndarray:

@@ -73,6 +73,48 @@ def test_stages_keep_all_columns(spark, documents, words):
     assert not [i for i in left if i >= 200] and {i for i, _ in rows if i < 200} <= left
 
 
+def test_word_order_counts():
+    """The same ordinary words in another order have other features, beside the single ones."""
+    first, second = (set(quality.slots(t)) for t in ("one sunny day they went home", "they one home went sunny day"))
+    assert len(first & second) >= 6 and len(first - second) >= 6
+
+
+def test_repeated_keys_do_not_exceed_the_sample(spark, documents):
+    docs = documents([(1, f"text {i % 7}") for i in range(500)] + [(2, None), (2, None)])
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, 0, 0)], LABELS)
+    rows, _ = quality.sample(docs, labels, key="doc_id", label="quality", bound=100)
+    picked = {r.doc_id: (r.text, r._label) for r in rows.collect()}
+    assert len(picked) == rows.count() == 2 and picked[1][1] == 1 and picked[1][0].startswith("text") and picked[2] == (None, 0)
+
+
+def test_a_plain_follow_the_leader_gives_the_same_weights():
+    """One coordinate at a time, as the published algorithm is written."""
+    rng = np.random.default_rng(2)
+    rows = [(np.append(np.unique(rng.integers(0, 50, 6)), quality.DIMENSIONS), None, int(rng.integers(0, 2))) for _ in range(60)]
+    rows = [(at, rng.random(len(at)), y) for at, _, y in rows]
+    alpha, beta, l1, l2 = 0.3, 1.0, 0.02, 0.1
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * l1) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for epoch in range(quality.EPOCHS):
+        for k in np.random.default_rng(epoch).permutation(len(rows)):
+            at, values, y = rows[k]
+            own = {i: weight(i) for i in at}
+            p = 1 / (1 + np.exp(-sum(own[i] * x for i, x in zip(at, values))))
+            for i, x in zip(at, values):
+                g = (p - y) * x
+                sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / alpha
+                z[i] = z.get(i, 0.0) + g - sigma * own[i]
+                n[i] = n.get(i, 0.0) + g * g
+    found = quality.leader(rows)
+    assert np.allclose([found[i] for i in z], [weight(i) for i in z], atol=1e-9)
+
+
 def test_leader_separates():
     rows = [(np.array([k % 2, quality.DIMENSIONS]), np.array([1.0, 1.0]), k % 2) for k in range(200)]
     w = quality.leader(rows)
