@@ -1,11 +1,14 @@
 """Two-pass external shuffle into shards, in DataFrame expressions only.
 
 First pass: a seeded hash scatters the whole records uniformly into buckets small enough for a task's memory, by their
-summed bytes and by their number. Second pass: each bucket is put into a fixed order and numbered, and then sorted by a
-seeded hash of that number, which is a random permutation whatever repeats. Both sorts and the numbering spill, and no
-bucket becomes one value, so neither a long text nor a crowded bucket meets Spark's limit of 2 GB. The buckets' sizes,
-counted beforehand, say where each bucket begins in the whole order, and the order is cut into shards whose row counts
-differ by at most one: the law is ``rows``.
+summed bytes and by their number. Second pass: each bucket is put into a fixed order and numbered, and a Fisher-Yates
+shuffle of these numbers says where each record goes. Only numbers are held as one value, never records, and the sort
+spills, so a long text doesn't meet Spark's limit of 2 GB. Many small buckets spread evenly over the tasks. The buckets'
+sizes, counted beforehand, say where each bucket begins in the whole order, and the order is cut into shards whose row
+counts differ by at most one: the law is ``rows``.
+
+A swap copies the bucket's numbers, so a bucket holds about ``BUCKET_ROWS`` rows. Rows that agree in all their keys and
+are more than that are counted, and dealt over several buckets at random.
 
 Source: Rao, "Randomized parallel external permutation".
 """
@@ -18,9 +21,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKET_ROWS = 20_000
+from siteloom.llm.shared import narrow
+
+BUCKET_ROWS = 512
 BUCKET_BYTES = 32 << 20
 SEED = 20_240_117
+# Crowded keys that a broadcast may hold, 16 bytes each.
+CROWDS = 100_000
 
 
 def external_shuffle(
@@ -28,23 +35,50 @@ def external_shuffle(
 ) -> DataFrame:
     """All rows and columns of ``df`` with ``shard int`` and ``slot long``, gapless from 0 in each shard.
 
-    ``keys`` scatter the rows; keys that repeat fall into one bucket, so give columns that tell rows apart. Null
-    keys are hashed like values. Rows that agree in all columns are interchangeable. Names of ``df`` that start
-    with ``_`` are not allowed; an empty table gives an empty result.
+    ``keys`` scatter the rows, and null keys are hashed like values. Rows that agree in all columns are interchangeable.
+    Names of ``df`` that start with ``_``, ``shard`` and ``slot`` are refused; an empty table gives an empty result.
     """
+    taken = [c for c in df.columns if c.startswith("_") or c in ("shard", "slot")]
+    if taken:
+        raise ValueError(f"columns {taken} have names that the shuffle uses")
     total, buckets = bucket_count(df, bucket_rows, bucket_bytes)
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
-    sizes = df.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count("*").alias("_rows"))
-    begins = _begins(sizes)
-    fixed = [F.col(f"`{k}`") for k in [*keys, *[c for c in df.columns if c not in keys]]]
+    scattered = _scattered(df, keys, buckets, seed, bucket_rows)
+    sizes = scattered.groupBy("_bucket").agg(F.count("*").alias("_rows"))
     own = Window.partitionBy("_bucket")
-    placed = df.withColumn("_bucket", bucket).withColumn("_at", F.row_number().over(own.orderBy(*fixed)))
-    placed = placed.withColumn("_turn", F.xxhash64(F.lit(seed), "_bucket", "_at"))
-    placed = placed.withColumn("_to", F.row_number().over(own.orderBy("_turn", "_at"))).join(begins, "_bucket")
-    shard, slot = cut(F.col("_begin") + F.col("_to") - 1, total, shards)
+    fixed = [F.col(f"`{k}`") for k in [*keys, *[c for c in df.columns if c not in keys]]]
+    placed = scattered.withColumn("_at", F.row_number().over(own.orderBy(*fixed)) - 1)
+    order = fisher_yates(F.col("_rows").cast("int"), F.lit(seed), F.col("_bucket"))
+    placed = placed.join(_begins(sizes).withColumn("_order", order), "_bucket")
+    shard, slot = cut(F.col("_begin") + F.get("_order", F.col("_at")), total, shards)
     return placed.select(*[F.col(f"`{c}`") for c in df.columns], shard.alias("shard"), slot.alias("slot"))
 
 
+def _scattered(df: DataFrame, keys: list[str], buckets: int, seed: int, bucket_rows: int) -> DataFrame:
+    """``df`` with ``_bucket``, by a hash of the keys; of keys with more rows than a bucket also by a random number."""
+    named = [F.col(f"`{k}`") for k in keys]
+    crowd = F.xxhash64(F.lit(seed), *named)
+    crowded = df.select(crowd.alias("_crowd")).groupBy("_crowd").agg(F.count("*").alias("_copies")).where(F.col("_copies") > bucket_rows)
+    if crowded.isEmpty():
+        return df.withColumn("_bucket", F.pmod(F.xxhash64(crowd, F.lit(0).cast("bigint")), F.lit(buckets)).cast("int"))
+    met = df.withColumn("_crowd", crowd).join(narrow(crowded, CROWDS), "_crowd", "left")
+    turn = F.when(F.col("_copies").isNull(), F.lit(0).cast("bigint")).otherwise(F.floor(F.rand(seed) * buckets))
+    return met.withColumn("_bucket", F.pmod(F.xxhash64("_crowd", turn), F.lit(buckets)).cast("int")).drop("_crowd", "_copies")
+
+
+def fisher_yates(size: Column, *seeds: Column) -> Column:
+    """The numbers below ``size`` as an array, shuffled: from the last place down, each swaps with one up to itself."""
+
+    def swapped(made: Column, i: Column) -> Column:
+        j = F.pmod(F.xxhash64(*seeds, i), i + 1).cast("int")
+        between = F.slice(made, j + 2, F.greatest(i - j - 1, F.lit(0)))
+        rest = F.slice(made, i + 2, size)
+        exchanged = F.concat(F.slice(made, F.lit(1), j), F.array(F.get(made, i)), between, F.array(F.get(made, j)), rest)
+        return F.when(i == j, made).otherwise(exchanged)
+
+    numbers = F.sequence(F.lit(0), size - 1)
+    return F.when(size < 2, numbers).otherwise(F.aggregate(F.sequence(size - 1, F.lit(1), F.lit(-1)), numbers, swapped))
+
+
 def bucket_count(df: DataFrame, bucket_rows: int = BUCKET_ROWS, bucket_bytes: int = BUCKET_BYTES) -> tuple[int, int]:
     """The number of rows, and of buckets that hold neither more rows nor more bytes than given, on the average."""
     total, size = df.agg(F.count("*"), F.sum(row_bytes(df))).first()
@@ -73,7 +107,7 @@ def _begins(sizes: DataFrame, span: int = 4096) -> DataFrame:
     totals = runs.groupBy("_run").agg(F.sum("_rows").alias("_sum"))
     before = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("_run", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    return within.join(F.broadcast(starts), "_run").select("_bucket", (F.col("_base") + F.col("_in")).alias("_begin"))
+    return within.join(F.broadcast(starts), "_run").select("_bucket", "_rows", (F.col("_base") + F.col("_in")).alias("_begin"))
 
 
 def cut(number: Column, total: int, shards: int) -> tuple[Column, Column]:

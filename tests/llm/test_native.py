@@ -179,6 +179,32 @@ def test_whole_records_are_shuffled_in_buckets_of_bounded_bytes(spark, sf_dir, d
     assert sum(a != b for a, b in zip(order, order[1:])) > 10  # copies of one row are spread too
 
 
+def test_fisher_yates_is_uniform(spark):
+    """Every order of four numbers comes about as often; lengths 0 and 1 are their own order."""
+    made = spark.range(24_000).select(shards.fisher_yates(F.lit(4), F.lit(7), F.col("id")).alias("p")).groupBy("p").count().collect()
+    assert len(made) == 24 and all(sorted(r.p) == [0, 1, 2, 3] for r in made)
+    assert sum((r["count"] - 1000) ** 2 / 1000 for r in made) < 50  # chi-square with 23 degrees of freedom
+    assert spark.range(1).select(shards.fisher_yates(F.lit(1), F.lit(7))).first()[0] == [0]
+    long = spark.range(1).select(shards.fisher_yates(F.lit(300), F.lit(7))).first()[0]
+    numbers = list(range(300))
+    assert sorted(long) == numbers and long != numbers
+
+
+def test_crowded_keys_are_dealt_over_buckets(spark, documents):
+    docs = documents([(1, f"t{i}") for i in range(300)] + [(None, "n")] * 300 + [(i, "x") for i in range(100)])
+    buckets = shards._scattered(docs, ["doc_id"], 70, 1, 10).groupBy("_bucket").count().collect()
+    assert max(r["count"] for r in buckets) < 40
+    out = shards.external_shuffle(docs, ["doc_id"], bucket_rows=10).collect()
+    assert len(out) == 700 and len({(r.shard, r.slot) for r in out}) == 700
+    assert sorted(str(r.text) for r in out) == sorted(str(r.text) for r in docs.collect())
+
+
+@pytest.mark.parametrize("name", ["_own", "shard", "slot"])
+def test_names_that_the_shuffle_uses_are_refused(spark, name):
+    with pytest.raises(ValueError):
+        shards.external_shuffle(spark.range(3).withColumn(name, F.lit(1)), ["id"])
+
+
 URLS = [
     None, "", "no scheme", "http://", "https://A.Example.NET/en/x?y#z", "https://example.net/EN/", "http://net/", "http://x.org/fr/", "http://x.org/fr", "ftp://evilexample.net/", "http://evil.example.com/de/1",
     "http://example.com?q=/de/", "http://ex.org#/fr/", "http://u:p@Host.NET:80/p", "http://aÄB.org/fr/é", "x://y://z/w", "http://www.List.example.org/a/?utm_source=x&ref=1", "http://list.example.org:80/a", "http://list.example.org/a?id=3",
