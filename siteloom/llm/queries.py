@@ -50,7 +50,7 @@ def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_decode(table(spark, sf_dir, "documents"), bpe.vocabulary(VOCABULARY), full=False)
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), bpe.vocabulary(VOCABULARY))
 
 
 def op6_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
