@@ -48,7 +48,9 @@ def external_shuffle(
     fixed = [F.col(f"`{k}`") for k in [*keys, *[c for c in df.columns if c not in keys]]]
     placed = scattered.withColumn("_at", F.row_number().over(own.orderBy(*fixed)) - 1)
     order = fisher_yates(F.col("_rows").cast("int"), F.lit(seed), F.col("_bucket"))
-    placed = placed.join(_begins(sizes).withColumn("_order", order), "_bucket")
+    # a row of sizes is small and its shuffle is long, so these rows are spread by number and not by bytes
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = placed.join(_begins(sizes).repartition(tasks, "_bucket").withColumn("_order", order), "_bucket")
     shard, slot = cut(F.col("_begin") + F.get("_order", F.col("_at")), total, shards)
     return placed.select(*[F.col(f"`{c}`") for c in df.columns], shard.alias("shard"), slot.alias("slot"))
 
