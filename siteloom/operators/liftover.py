@@ -24,6 +24,9 @@ def reference_bases(df: DataFrame, reference: DataFrame, length: Column, size: i
     that begins with the chunk of its first base. Where some allele reaches past its chunk, that text is continued
     by all the chunks the longest such allele covers, so the result doesn't depend on the chunk size; chunks without
     such an allele, nearly all, stay as they are.
+
+    Text is far longer than a planner that goes by columns takes it for. So it is joined by sort and merge, and streamed
+    past the few rows that continue a chunk: no join may send it through the driver.
     """
     chunks = reference.select(F.col("contig").alias("_contig"), F.col("chunk").alias("_chunk"), F.col("seq").alias("_text"))
     offset = F.col("POS") - 1
@@ -31,13 +34,13 @@ def reference_bases(df: DataFrame, reference: DataFrame, length: Column, size: i
     reach = df.where(last > first).select(F.col("CHR").alias("_contig"), first.alias("_from"), last.alias("_to"))
     reach = reach.groupBy("_contig", "_from").agg(F.max("_to").alias("_to"))
     more = reach.select("_contig", "_from", F.explode(F.sequence(F.col("_from") + 1, F.col("_to"))).alias("_chunk"))
-    pieces = more.join(chunks, ["_contig", "_chunk"]).groupBy("_contig", F.col("_from").alias("_chunk"))
+    pieces = more.hint("shuffle_hash").join(chunks, ["_contig", "_chunk"]).groupBy("_contig", F.col("_from").alias("_chunk"))
     more = pieces.agg(F.sort_array(F.collect_list(F.struct("_chunk", "_text"))).alias("_pieces"))
     more = more.select("_contig", "_chunk", F.array_join(F.col("_pieces")["_text"], "").alias("_more"))
-    text = chunks.join(more, ["_contig", "_chunk"], "left").select(
+    text = chunks.join(more.hint("merge"), ["_contig", "_chunk"], "left").select(
         "_contig", "_chunk", F.concat("_text", F.coalesce("_more", F.lit(""))).alias("_text")
     )
-    joined = df.join(text, (F.col("CHR") == F.col("_contig")) & (first == F.col("_chunk")), "left")
+    joined = df.join(text.hint("merge"), (F.col("CHR") == F.col("_contig")) & (first == F.col("_chunk")), "left")
     found = F.substring("_text", (offset % size + 1).cast("int"), length.cast("int"))
     return compute_once(joined, {"ref_bases": found}).drop("_contig", "_chunk", "_text")
 

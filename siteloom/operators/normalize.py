@@ -51,7 +51,8 @@ def _with_left_context(df: DataFrame, reference: DataFrame, size: int, reach: in
         F.col("contig").alias("_contig"), F.col("chunk").alias("_chunk"), F.col("seq").alias("_text")
     )
     before = text.select("_contig", (F.col("_chunk") + 1).alias("_chunk"), F.right("_text", F.lit(reach)).alias("_before"))
-    context = text.join(before, ["_contig", "_chunk"], "left").select(
+    # merge joins: reference text must not be broadcast, whatever its planned size
+    context = text.join(before.hint("merge"), ["_contig", "_chunk"], "left").select(
         "_contig",
         "_chunk",
         F.concat(F.coalesce("_before", F.lit("")), "_text").alias("_text"),
@@ -62,7 +63,7 @@ def _with_left_context(df: DataFrame, reference: DataFrame, size: int, reach: in
     end = F.col("_lead") + (offset % size).cast("int")
     n = F.least(F.lit(reach), end)
     left = F.reverse(F.substring("_text", end - n + 1, n))
-    return compute_once(df.join(context, here, "left"), {"_left": left}).drop("_contig", "_chunk", "_text", "_lead")
+    return compute_once(df.join(context.hint("merge"), here, "left"), {"_left": left}).drop("_contig", "_chunk", "_text", "_lead")
 
 
 def _align(df: DataFrame, reference: DataFrame, size: int, reach: int) -> DataFrame:

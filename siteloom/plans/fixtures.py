@@ -404,10 +404,9 @@ def reference(spark: SparkSession, sf_dir: str, size: int = CHUNK) -> DataFrame:
     text = _period() * (size // REFERENCE_PERIOD + 3)
     return (
         last.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n"))).alias("chunk"))
-        .repartition(spark.sparkContext.defaultParallelism, "chunk")  # a given number is not coalesced
-        .select(
-            F.explode(F.array(*[F.lit(c) for c in [*map(str, range(1, 23)), "X", "Y"]])).alias("contig"), "chunk"
-        )
+        .select(F.explode(F.array(*[F.lit(c) for c in [*map(str, range(1, 23)), "X", "Y"]])).alias("contig"), "chunk")
+        # dealt as lookups join it, before there is text to move; a given number is not coalesced
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "contig", "chunk")
         .withColumn(
             "seq", F.expr(f"substr('{text}', CAST(chunk * {size} % {REFERENCE_PERIOD} AS INT) + 1, {size})")
         )

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from siteloom.operators import liftover, normalize, site_qc
 from siteloom.operators.intervals import pairs_within, range_join
@@ -108,3 +109,18 @@ def test_a_cluster_needs_a_shared_folder(master):
 
 def test_a_local_session_may_use_a_temporary_folder():
     assert checkpoint_root(Cluster("local[4]"))
+
+
+def test_reference_text_never_goes_through_the_driver(spark, sf_dir):
+    """Planned sizes go by columns, so a reference of any length looks small enough to broadcast."""
+    from siteloom.operators.normalize import _with_left_context
+    from siteloom.plans import fixtures
+
+    rows = spark.createDataFrame([("1", 9_999, "ACGT", "A"), ("2", 20_001, "C", "CG")], "CHR string, POS bigint, REF string, ALT string")
+    reference = fixtures.reference(spark, sf_dir)
+    found = liftover.reference_bases(rows, reference, F.length("REF"))
+    context = _with_left_context(rows, reference, liftover.CHUNK, 64)
+    for df in (found, context):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+        df.collect()
+        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
