@@ -23,10 +23,11 @@ WINDOW = 75_000
 def pack_words(df: DataFrame, key: str, sample_index=None) -> DataFrame:
     """(contigName, start, key, n, s, d, words) from biallelic rows with genotypes.
 
-    ``words`` is an array, one struct (called, one, two) for each 64 samples in the order of their numbers.
-    Over the called samples: their number n, the dosage sum s, and d = n * sum(x * x) - s * s, which is n
-    times the sum of squared deviations and zero for a constant site. ``sample_index`` maps the genotype struct
-    to the sample's number; by default it is the position in the array.
+    ``words`` is an array, one struct (w, called, one, two) for each 64 samples, numbered w in the order of the samples'
+    numbers. Words without a genotype of the site are left out, so a site costs as much as it holds genotypes, however
+    large the numbers are. Over the called samples: their number n, the dosage sum s, and d = n * sum(x * x) - s * s,
+    which is n times the sum of squared deviations and zero for a constant site. ``sample_index`` maps the genotype
+    struct to the sample's number; by default it is the position in the array.
     """
     bigint = lambda value: F.lit(value).cast("bigint")
     number = (lambda g, i: i) if sample_index is None else (lambda g, i: sample_index(g))
@@ -50,23 +51,25 @@ def pack_words(df: DataFrame, key: str, sample_index=None) -> DataFrame:
         return F.when(x.isNull(), acc).otherwise(F.struct(*[v.alias(c) for v, c in zip(values, names)]))
 
     def packed(e: Column) -> Column:
-        last = F.coalesce(F.floor(F.array_max(e["i"]) / 64), F.lit(0)).cast("int")
+        if sample_index is None:  # in column order a word is a slice; with other numbers its entries are picked out
+            held = F.sequence(bigint(0), F.floor((F.size(e) - 1) / 64).cast("bigint"))
+        else:
+            held = F.array_sort(F.array_distinct(F.transform(F.filter(e, lambda x: x["i"] >= 0), lambda x: F.floor(x["i"] / 64))))
 
         def word(w: Column) -> Column:
-            # in column order a word is a slice; with other numbers, in ragged arrays, its entries are picked out
-            own = F.slice(e, w * 64 + 1, 64) if sample_index is None else F.filter(e, lambda x: F.floor(x["i"] / 64) == w)
-            return F.aggregate(own, zero, add)
+            own = F.slice(e, (w * 64 + 1).cast("int"), 64) if sample_index is None else F.filter(e, lambda x: F.floor(x["i"] / 64) == w)
+            return F.struct(w.alias("w"), F.aggregate(own, zero, add).alias("t"))
 
-        return F.transform(F.sequence(F.lit(0), last), word)
+        return F.transform(F.when(F.size(e) > 0, held).otherwise(F.array().cast("array<bigint>")), word)
 
     message = F.lit("LD needs split rows: a site has several alternate alleles")
-    kind = "array<struct<" + ",".join(f"{c}:bigint" for c in names) + ">>"
+    kind = "array<struct<w:bigint,t:struct<" + ",".join(f"{c}:bigint" for c in names) + ">>>"
     bound = F.transform(F.array(entries), packed)[0]
     words = F.when(F.size("alternateAlleles") > 1, F.raise_error(message).cast(kind)).otherwise(bound)
     once = compute_once(df.select("contigName", "start", key, "alternateAlleles", "genotypes"), {"words": words})
-    total = {c: F.aggregate(F.col("words")[c], bigint(0), lambda t, v: t + v) for c in ("n", "s", "q")}
+    total = {c: F.aggregate(F.col("words.t")[c], bigint(0), lambda t, v: t + v) for c in ("n", "s", "q")}
     summed = compute_once(once.select("contigName", "start", key, "words"), total)
-    planes = F.transform("words", lambda w: F.struct(w["called"].alias("called"), w["one"].alias("one"), w["two"].alias("two")))
+    planes = F.transform("words", lambda w: F.struct(w["w"].alias("w"), *[w["t"][c].alias(c) for c in names[3:]]))
     d = F.col("n") * F.col("q") - F.col("s") * F.col("s")
     return summed.select("contigName", "start", key, "n", "s", d.alias("d"), planes.alias("words"))
 
@@ -132,12 +135,18 @@ def ld_r2(df: DataFrame, key: str, window: int = WINDOW, sample_index=None, min_
             (common(a["called"], b["one"]) + common(a["called"], b["two"])).alias("y"),
         )
 
-    shared = F.least(F.size("a_words"), F.size("b_words"))
-    each = F.zip_with(F.slice("a_words", 1, shared), F.slice("b_words", 1, shared), counted)
+    def both(words: str) -> Column:
+        """The words of one site that the other has too; sites of one cohort's columns mostly have the same."""
+        return F.when(F.col("_same"), F.col(words)).otherwise(F.filter(words, lambda w: F.array_contains("_shared", w["w"])))
+
+    each = F.zip_with(both("a_words"), both("b_words"), counted)
     sums = F.aggregate(each, zero, lambda t, w: F.struct(*[(t[c] + w[c]).alias(c) for c in ("n", "xy", "x", "y")]))
     pair = ["contigName", f"a_{key}", f"b_{key}"]
     totals = [f"{side}_{name}" for side in "ab" for name in ("n", "s", "d")]
-    met = compute_once(joined.select(*pair, *totals, "a_words", "b_words"), {"_t": sums})
+    a_at, b_at = F.col("a_words")["w"], F.col("b_words")["w"]
+    at = {"_same": a_at == b_at, "_shared": F.when(a_at != b_at, F.array_intersect(a_at, b_at))}
+    matched = compute_once(joined.select(*pair, *totals, "a_words", "b_words"), at)
+    met = compute_once(matched, {"_t": sums}).select(*pair, *totals, "_t")
     exact = {c: F.col(c).cast("decimal(10,0)") for c in totals if not c.endswith("_d")}
     na, sa, nb, sb = (exact[c] for c in ("a_n", "a_s", "b_n", "b_s"))
     n, xy, x, y = (F.col(f"_t.{c}").cast("decimal(10,0)") for c in ("n", "xy", "x", "y"))

@@ -121,6 +121,29 @@ def test_genotypes_are_neither_exploded_nor_shuffled_by_word(pvcf):
     assert "posexplode" not in plan and "word#" not in plan
 
 
+def test_words_follow_the_genotypes_of_a_site_not_the_sample_numbers(spark):
+    """Two sites hold different samples with numbers far apart; the pair is that of the samples they share."""
+    number = lambda g: g["sampleId"].cast("bigint")
+    left, right = {3: 0, 70: 1, 9_000: 2, 5_000_000: 1, 64: 2}, {70: 2, 9_000: 1, 5_000_001: 0, 5_000_000: 0, 64: 1, 12: 1}
+    calls = {0: [0, 0], 1: [0, 1], 2: [1, 1]}
+    rows = [(i, "1", i, ["C"], [(calls[x], str(n)) for n, x in g.items()]) for i, g in enumerate([left, right])]
+    df = spark.createDataFrame(rows, "sid int, contigName string, start bigint, alternateAlleles array<string>, genotypes array<struct<calls:array<int>,sampleId:string>>")
+    packed = ld.pack_words(df, "sid", number).select("sid", F.col("words.w").alias("w")).collect()
+    assert {r.sid: r.w for r in packed} == {0: [0, 1, 140, 78125], 1: [0, 1, 140, 78125]}
+    alone = ld.pack_words(df, "sid", number).agg(F.max(F.size("words"))).first()[0]
+    assert alone == 4
+    for cut, shared in ((0, [70, 9_000, 5_000_000, 64]), (1_000, [9_000, 5_000_000])):
+        kept = df.withColumn("genotypes", F.filter("genotypes", lambda g: (number(g) > cut) | (F.col("sid") == 0)))
+        own = {n: x for n, x in right.items() if n > cut}
+        x = np.array([left.get(n, np.mean(list(left.values()))) for n in sorted({*left, *own})])
+        y = np.array([own.get(n, np.mean(list(own.values()))) for n in sorted({*left, *own})])
+        covariance = sum((left[n] - np.mean(list(left.values()))) * (own[n] - np.mean(list(own.values()))) for n in shared)
+        expected = covariance**2 / (x.var() * len(x) * y.var() * len(y))
+        row = ld.ld_r2(kept, "sid", WINDOW, number).collect()
+        assert [(r.a_sid, r.b_sid, r.n_both) for r in row] == [(0, 1, len(shared))]
+        assert abs(row[0].r2 - expected) < 1e-12
+
+
 def test_crowded_bin_is_salted(spark):
     """5,000 sites in one bin: every pair once, whatever the salts."""
     from siteloom.operators.intervals import pairs_within
