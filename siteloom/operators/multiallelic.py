@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siteloom.functions import calls
+from siteloom.functions.once import compute_once
 
 MODES = ("masked", "downcode")
 
@@ -84,13 +85,13 @@ def split_multiallelics(df: DataFrame, mode: str = "masked") -> DataFrame:
         places = F.expr(
             "flatten(transform(sequence(0, _n_alt), k -> transform(sequence(0, k), j -> CAST(j = a_index AS INT) + CAST(k = a_index AS INT))))"
         )
-        rows = rows.withColumn("_own", F.when(F.col("splitFromMultiAllelic"), places))
+        rows = compute_once(rows, {"_own": F.when(F.col("splitFromMultiAllelic"), places)})
         split = F.transform(split, lambda g: g.withField("PL", lattice(g)))
         if mode == "downcode":
             split = F.transform(split, lambda g: g.withField("conditionalQuality", quality(g)))
-    return rows.withColumn(
-        "genotypes", F.when(F.col("splitFromMultiAllelic"), split).otherwise(F.col("genotypes"))
-    ).drop("_i", "_alt", "_n_alt", "_own")
+    result = F.when(F.col("splitFromMultiAllelic"), split).otherwise(F.col("genotypes"))
+    rows = compute_once(rows, {"genotypes": result}) if likelihoods else rows.withColumn("genotypes", result)
+    return rows.drop("_i", "_alt", "_n_alt", "_own")
 
 
 def correct_multiallelics(df: DataFrame, mode: str = "masked") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siteloom.functions import alleles
+from siteloom.functions.once import compute_once
 
 # The leading columns of a variant line, and the header of a sites-only file.
 SITE_COLUMNS = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"]
@@ -111,14 +112,12 @@ def parse_pvcf(lines: DataFrame, samples: list[str], formats: dict[str, tuple[st
     type, see ``read_header``) beside GT, DP, GQ and AD becomes a field of that name in the genotype.
     """
     extra = {k: v for k, v in (formats or {}).items() if k not in CORE_FORMAT}
-    fields = (
-        data_lines(lines)
-        .withColumn("_f", F.split("value", "\t"))
-        .withColumn("_format", F.split(F.get("_f", F.lit(8)), ":"))
-    )
+    # bound row by row: in a lambda the planner would split the line again for each genotype
+    fields = compute_once(data_lines(lines), {"_f": F.split("value", "\t")}).select("_f")
+    fields = compute_once(fields, {"_format": F.split(F.get("_f", F.lit(8)), ":")})
     names = F.split(F.lit("\t".join(samples)), "\t")
-    place = {k: (F.array_position("_format", k) - 1).cast("int").alias(f"_at_{k}") for k in (*CORE_FORMAT, *extra)}
-    staged = fields.select("*", *place.values())
+    place = {f"_at_{k}": (F.array_position("_format", k) - 1).cast("int") for k in (*CORE_FORMAT, *extra)}
+    staged = compute_once(fields, place)
 
     def value(parts: Column, key: str) -> Column:
         return F.get(parts, F.col(f"`_at_{key}`"))
@@ -142,7 +141,7 @@ def parse_pvcf(lines: DataFrame, samples: list[str], formats: dict[str, tuple[st
     genotypes = F.transform(zipped if samples else F.slice(zipped, 1, 0), genotype)
     start = F.get("_f", F.lit(1)).cast("bigint") - 1
     ref = F.get("_f", F.lit(3))
-    return staged.select(
+    rows = staged.select(
         F.get("_f", F.lit(0)).alias("contigName"),
         start.alias("start"),
         (start + F.length(ref)).alias("end"),
@@ -151,8 +150,10 @@ def parse_pvcf(lines: DataFrame, samples: list[str], formats: dict[str, tuple[st
         F.split(F.get("_f", F.lit(6)), ";").alias("filters"),
         F.get("_f", F.lit(5)).try_cast("double").alias("qual"),
         info_map(F.get("_f", F.lit(7))).alias("attributes"),
-        genotypes.alias("genotypes"),
+        "_f",
+        *[f"`{c}`" for c in place],
     )
+    return compute_once(rows, {"genotypes": genotypes}).drop("_f", *place)
 
 
 def read_pvcf(spark: SparkSession, path: str, check_headers: bool = True, partitions: int | None = None) -> DataFrame:

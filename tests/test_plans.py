@@ -4,6 +4,7 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from siteloom.operators.intervals import range_join
@@ -39,6 +40,23 @@ def test_row_local_statistics_add_no_shuffle(spark, sf_dir):
     assert count(pipelines.matrix_qc(rows)) == count(rows)
 
 
+def test_a_variant_line_is_split_once_however_many_samples(spark):
+    """Inlined into the lambda over genotypes, the split of the line would run again for each of them."""
+    from siteloom.operators import genotypes, multiallelic
+    from siteloom.sources import vcf
+
+    lines = spark.createDataFrame([("1\t10\t.\tA\tC,G\t.\tPASS\tAC=1\tGT:PL\t0/1:9,0,9,9,9,9\t1/2:9,9,9,9,0,9",)], "value string")
+    rows = vcf.parse_pvcf(lines, ["p", "q"], {"PL": ("G", "Integer")})
+    plan = physical(rows.select("contigName", "start", F.inline("genotypes")))
+    assert len(re.findall(r"split\(value#\d+", plan)) == 1 and plan.count("array_position(") == 5
+    split = multiallelic.split_multiallelics(genotypes.process_genotypes(rows, extra_fields=["PL"]), "downcode")
+    cells = split.select("a_index", F.inline("genotypes"))
+    assert physical(cells).count("flatten(") == 1
+    assert sorted((r.a_index, r.sampleId, r.PL) for r in cells.collect()) == [
+        (1, "p", [9, 0, 9]), (1, "q", [9, 0, 9]), (2, "p", [0, 9, 9]), (2, "q", [9, 0, 9])
+    ]
+
+
 def test_nearest_partial_limit_before_shuffle(spark, sf_dir):
     assert "WindowGroupLimit" in physical(contract.queries()["nearest_genes_salted"](spark, sf_dir))
 
