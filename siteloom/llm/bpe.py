@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from array import array
 
 import ahocorasick
@@ -42,7 +43,12 @@ END = chr(256)
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 # Chunks on which every Unicode version agrees: Latin letters, composed, and ASCII signs.
 SIMPLE = r"[!-~\u00c0-\u017e]+"
-# A word costs more to merge than a hashed chunk to describe, so this memo is larger: two generations of this size.
+# Texts of such chunks between plain white space, and the file's rule for splitting them once they are lower-cased.
+SIMPLE_TEXT = r"[!-~\u00c0-\u017e \t\n\v\f\r]*"
+SIMPLE_LETTERS = r"a-z\u00df-\u00f6\u00f8-\u017e"
+SIMPLE_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|[{SIMPLE_LETTERS}]+|[0-9]|[^\s{SIMPLE_LETTERS}0-9]+"
+# A word costs more to merge than a hashed chunk to describe, so this memo is larger: two generations of this size, of
+# which words take three quarters and chunks outside simple texts the rest.
 MEMO_BYTES = 80_000_000
 
 
@@ -157,7 +163,7 @@ class Automaton:
 
 
 class Encoder:
-    """Whole texts to token ids: chunks between white space are encoded once and remembered."""
+    """Whole texts to token ids: words, and chunks between white space, are encoded once and remembered."""
 
     def __init__(self, path: str, memo: int = MEMO_BYTES):
         with open(path, encoding="utf-8") as file:
@@ -174,15 +180,16 @@ class Encoder:
         self._simple = regex.compile(SIMPLE).fullmatch
         self._marks = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")")
         self._spaces = regex.compile(r"\s+").split
-        self._memo = Recent(self._coded, memo)
+        self._simple_text = re.compile(SIMPLE_TEXT).fullmatch
+        self._simple_split = re.compile(SIMPLE_SPLIT).findall
+        self._memo = Recent(self._coded, memo // 4)
+        self._known = Recent(lambda word: self.word(word.encode("utf-8")), memo - memo // 4)
 
     def word(self, word: bytes) -> bytes:
         return array("I", self.automaton.encode(word.decode("latin-1"))).tobytes()
 
     def _words(self, chunk: str) -> list[bytes]:
-        if self._simple(chunk):
-            return [w.encode("utf-8") for w in self._split(chunk.lower())]
-        # elsewhere the library's own tables say what is a letter and how it is lower-cased and composed
+        """The words of a chunk by the library's own tables of what is a letter and how it is lower-cased and composed."""
         mapped = self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(chunk))
         return [bytes(map(self._bytes.__getitem__, w)) for w, _ in mapped]
 
@@ -192,19 +199,25 @@ class Encoder:
         return text.split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text. No word holds white space, so chunks are independent."""
-        parts: list[list[str]] = []
-        for text in texts:
-            if "<|" in text:  # special tokens are found in the raw text, before anything else
-                pieces = [[p] if p in self.special else self._chunks(p) for p in self._marks.split(text)]
-                parts.append([chunk for piece in pieces for chunk in piece])
-            else:
-                parts.append(self._chunks(text))
-        return [b"".join(map(self._memo.__getitem__, p)) for p in parts]
+        """Little-endian unsigned 32-bit ids of each text. No word holds white space, so chunks are independent.
+
+        Simple texts are split into words at once: these repeat more often than chunks, which carry signs beside them.
+        """
+        return [self._text(text) for text in texts]
+
+    def _text(self, text: str) -> bytes:
+        if "<|" in text:  # special tokens are found in the raw text, before anything else
+            pieces = [[p] if p in self.special else self._chunks(p) for p in self._marks.split(text)]
+            return b"".join([self._memo[chunk] for piece in pieces for chunk in piece])
+        if self._simple_text(text):
+            return b"".join(map(self._known.__getitem__, self._simple_split(text.lower())))
+        return b"".join(map(self._memo.__getitem__, self._chunks(text)))
 
     def _coded(self, chunk: str) -> bytes:
         if chunk in self.special:
             return array("I", [self.special[chunk]]).tobytes()
+        if self._simple(chunk):
+            return b"".join(map(self._known.__getitem__, self._split(chunk.lower())))
         return b"".join(map(self.word, self._words(chunk)))
 
     def decode(self, ids: bytes) -> str:

@@ -159,3 +159,12 @@ def test_a_worker_keeps_one_object_and_memos_are_bounded_in_bytes():
     for _ in range(2):
         assert len(memo["x" * 100_000]) == 100_000
     assert len(calls) == 5002 and "x" * 100_000 not in memo
+
+
+def test_a_word_is_encoded_once_whatever_signs_stand_beside_it(library):
+    coder = bpe.MergedEncoder(bpe.vocabulary("word_bpe_49k.json"))
+    calls, merged = [], coder.word
+    coder.word = lambda word: calls.append(word) or merged(word)
+    texts = ["Lantern. lantern,\n(LANTERN)\tlantern's Été×étéİ 7", "lantern; café — lantern! Σ"]
+    assert [list(array("I", b)) for b in coder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert calls.count(b"lantern") == 1 and calls.count("été".encode()) == 1
