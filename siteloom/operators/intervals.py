@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from siteloom.session import BROADCAST_MAX_ROWS, fits_broadcast, small_side
 
+# Entries that a broadcast index may hold, in all its arrays together: at about 300 bytes an entry this is 30 MB.
+INDEX_MAX_ENTRIES = 100_000
+
 
 def bin_of(pos, width: int):
     return F.floor(pos / F.lit(width)).cast("bigint")
@@ -82,21 +85,22 @@ def index_join(
     contig: str,
     pos: str,
     width: int,
-    salts: int = 16,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    salts: int = 4,
+    max_broadcast_rows: int = INDEX_MAX_ENTRIES,
 ) -> DataFrame:
     """Every point once, with the ``entries`` of its bin (NULL where no interval touches it).
 
-    The index is broadcast if it was counted to be small. Otherwise the points of a crowded bin are dealt to
-    ``salts`` by a hash of their columns and the bin's row is repeated for each.
+    The index is broadcast if its entries, not its bins, were counted to be few: a row is as long as its array.
+    Otherwise the points of a crowded bin are dealt to ``salts`` by a hash of their columns and the bin's row is
+    repeated for each; both sides are then sorted and merged.
     """
     left, keys = points.withColumn("_bin", bin_of(F.col(pos), width)), [contig, "_bin"]
-    if fits_broadcast(index, max_broadcast_rows):
+    if (index.agg(F.sum(F.size("entries"))).first()[0] or 0) <= max_broadcast_rows:
         index = F.broadcast(index)
     elif salts > 1:
         atomic = [f.name for f in points.schema.fields if f.dataType.typeName() not in ("array", "map", "struct")]
         left = left.withColumn("_salt", F.pmod(F.xxhash64(*atomic), F.lit(salts)).cast("int"))
-        index = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        index = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
         keys.append("_salt")
     return left.join(index, keys, "left").select(*points.columns, "entries")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siteloom.functions import alleles
 from siteloom.functions.once import compute_once
-from siteloom.operators.intervals import index_join, interval_index
+from siteloom.operators.intervals import INDEX_MAX_ENTRIES, index_join, interval_index
 from siteloom.session import small_side, stored
 
 CHUNK = 10_000
@@ -66,7 +66,7 @@ def chain_index(chain: DataFrame, width: int = CHAIN_BIN) -> DataFrame:
     )
     if "chainid" in known:
         ends = blocks.groupBy("chainId").agg(F.max("srcEnd").alias("reaches"))
-        blocks = blocks.join(small_side(ends), "chainId")
+        blocks = blocks.join(small_side(ends, INDEX_MAX_ENTRIES), "chainId")
     else:
         blocks = blocks.withColumn("reaches", F.col("srcEnd"))
     entry = F.struct("rank", "chainId", "srcStart", "srcEnd", "reaches", "dstContig", "dstStart", "strand")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siteloom.operators import liftover, normalize, site_qc
-from siteloom.operators.intervals import pairs_within, range_join
+from siteloom.operators.intervals import index_join, pairs_within, range_join
 from siteloom.session import checkpoint_root
 from siteloom.sources import matrix, vcf
 
@@ -124,3 +124,15 @@ def test_reference_text_never_goes_through_the_driver(spark, sf_dir):
         assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
         df.collect()
         assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_chain_index_is_broadcast_by_its_entries_not_its_bins(spark):
+    """Few bins may hold many blocks, and a broadcast is gathered on the driver."""
+    chain = spark.range(40).selectExpr("'1' AS srcContig", "id AS srcStart", "id + 100 AS srcEnd", "'2' AS dstContig", "id AS dstStart", "'+' AS strand")
+    points = spark.createDataFrame([("1", 50), ("1", 500), ("3", 1), (None, 2)], "CHR string, at bigint")
+    join = lambda n: index_join(points, liftover.chain_index(chain), contig="CHR", pos="at", width=liftover.CHAIN_BIN, max_broadcast_rows=n)
+    few, many = join(40), join(39)
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    rows = sorted(map(str, many.collect()))
+    assert "Broadcast" not in many._jdf.queryExecution().executedPlan().toString()
+    assert rows == sorted(map(str, few.collect())) and len(rows) == 4
